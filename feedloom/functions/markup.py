@@ -5,7 +5,7 @@ written: they run in the JVM, as part of the scan's stage. Whatever they cannot
 be sure of (an element nested in one of its own name, an end tag that closes an
 outer element, unusual attributes, rare entities) goes to a parser in an Arrow
 batch, and only those rows are sent to Python. The choice is made per row by
-``_plain`` and ``_closed``, which accept a row only when both readers agree.
+``_plain`` and ``_whole``, which accept a row only when both readers agree.
 """
 
 from __future__ import annotations
@@ -52,31 +52,36 @@ _VOID = f"(?i:{'|'.join(sorted(page_parser.VOID))}){_END_OF_NAME}"
 _ATTR_NAME = r"[a-zA-Z_:@][-a-zA-Z0-9_:.@]*+"
 _VALUE = r"""(?:"[^"<>]*+"|'[^'<>]*+'|[^\s"'<>=`/]++(?=[\s>]))"""
 _ATTR = rf"\s++{_ATTR_NAME}(?:\s*+=\s*+{_VALUE})?+"
-_COMMENT = "<!--(?!>|->)(?:[^-]++|-(?!-))*+-->"
-# Elements whose content is no markup, or changes how text inside is read.
+# The attributes that are read must not come twice, nor a class list hold entities or
+# anything but ASCII.
+_CLASS_VALUE = r"""(?:"[ !#-%'-~\t\n\r\f]*+"|'[ -%(-~\t\n\r\f]*+'|[!#-%(-~&&[^=>`]]++(?=[\s>]))"""
+_PLAIN_ATTR = (
+    r"\s++(?!(?i:(class|href|src))\s*+=[^<>]*?\s(?i:\1)\s*+=)"
+    rf"(?!(?i:class)\s*+=(?!\s*+{_CLASS_VALUE}))"
+    rf"{_ATTR_NAME}(?:\s*+=\s*+{_VALUE})?+"
+)
+# Elements whose content is no markup, or changes how the text inside is read.
 _SPECIAL = (
-    "(?i:script|style|title|template|rt|rp|pre|textarea|xmp|iframe|noembed|noframes|noscript"
-    f"|plaintext|svg|math){_END_OF_NAME}"
+    "(?i:s(?:cript|tyle|vg)|t(?:itle|emplate|extarea)|r[tp]|p(?:re|laintext)|xmp|iframe"
+    f"|no(?:embed|frames|script)|math){_END_OF_NAME}"
 )
 
 
 def _raw_element(tag):
-    return rf"<(?i:{tag})(?:{_ATTR})*+\s*+>(?:[^<]++|<(?!!|/(?i:{tag})))*+</(?i:{tag})\s*+>"
+    return rf"(?i:{tag})(?:{_ATTR})*+\s*+>(?:[^<]++|<(?!!|/(?i:{tag})))*+</(?i:{tag})\s*+>"
 
 
-_SKIPPED = f"{_COMMENT}|{_raw_element('script')}|{_raw_element('style')}"
-_PLAIN_PAGE = (
-    rf"\A\s*+(?:<!(?i:doctype)[^<>\[]*+>)?+(?:[^<]++|{_SKIPPED}"
-    rf"|<(?i:title)(?:{_ATTR})*+\s*+>[^<]*+</(?i:title)\s*+>"
-    rf"|<{_VOID}(?:{_ATTR})*+\s*+/?+>"
-    rf"|<(?!{_VOID}|{_SPECIAL}){_NAME}(?:{_ATTR})*+\s*+>"
-    rf"|</(?!{_VOID}|{_SPECIAL}){_NAME}\s*+>)*+\z"
+# Comments, scripts and styles.
+_SKIPPED = (
+    rf"<(?:!--(?!>|->)(?:[^-]++|-(?!-))*+-->|{_raw_element('script')}|{_raw_element('style')})"
 )
-# An attribute given twice, or a class list with entities or unusual characters.
-_ODD_ATTRS = (
-    r"(?i)<[^<>]*?\s(class|href|src)\s*=[^<>]*?\s\1\s*="
-    r"""|(?i)\sclass\s*=\s*(?:"[^"]*?[^\x20-\x7e\t\n\r\f"]|'[^']*?[^\x20-\x7e\t\n\r\f']"""
-    r"""|"[^"&]*&|'[^'&]*&|[^"'\s>]*&)"""
+_PLAIN_PAGE = (
+    rf"\A\s*+(?:<!(?i:doctype)[^<>\[]*+>)?+(?:[^<]++"
+    rf"|<(?!{_SPECIAL}){_NAME}(?:{_PLAIN_ATTR})*+\s*+>"
+    rf"|</{_NAME}\s*+>"
+    rf"|{_SKIPPED}"
+    rf"|<{_VOID}(?:{_PLAIN_ATTR})*+\s*+/>"
+    rf"|<(?i:title)(?:{_PLAIN_ATTR})*+\s*+>[^<]*+</(?i:title)\s*+>)*+\z"
 )
 # A start tag up to the end tag of its own name, with nothing closed or reopened between.
 _PAIR = (
@@ -91,7 +96,7 @@ _DECODED = {f"&{name};": html5[f"{name};"] for name in _ENTITIES} | {"&#39;": "'
 _ODD_ENTITY = rf"&(?!(?:amp|#39|{'|'.join(_ENTITIES)});)[a-zA-Z#]"
 
 # A ">" in the text with only white space between it and the next tag.
-_ODD_GAP = r"(?:\A|>)[^<>]*+>[ \t\n\f\r]++<"
+_ODD_GAP = r">[^<>]*+>[ \t\n\f\r]++<"
 
 
 def _start_tag(tag: str, cls: str | None) -> str:
@@ -106,46 +111,66 @@ def _start_tag(tag: str, cls: str | None) -> str:
     )
 
 
-def _found(pattern: str, col: Column, group: int = 1) -> Column:
-    """The group of the first match; NULL without a match."""
-    return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, group))
+def _end_tag(tag: str) -> str:
+    return rf"</(?i:{tag})\s*+>"
+
+
+def _element(tag: str, cls: str | None) -> str:
+    """From a start tag to its end tag, or to where a tag of its name opens first.
+
+    Matches at every start tag, so the first match is the first such element;
+    whether it came to its end shows in ``_whole``.
+    """
+    return (
+        rf"{_start_tag(tag, cls)}(?:[^<]++|<(?!/?(?i:{tag}){_END_OF_NAME}))*+(?:{_end_tag(tag)})?+"
+    )
+
+
+def _first(pattern: str, col: Column) -> Column:
+    """The first match, NULL without one."""
+    return F.nullif(F.regexp_extract(col, pattern, 0), F.lit(""))
+
+
+def _past_start(source: Column) -> Column:
+    """What follows a start tag; no attribute of plain markup holds a ">"."""
+    return F.substr(source, F.instr(source, F.lit(">")) + 1)
 
 
 def _after(col: Column, tag: str, cls: str | None) -> Column:
     """What follows the first such start tag, within its element and beyond."""
-    return _found(rf"{_start_tag(tag, cls)}((?s:.*))", col)
+    return _past_start(_first(rf"{_start_tag(tag, cls)}(?s:.*)", col))
 
 
 def _plain(col: Column) -> Column:
-    return col.rlike(_PLAIN_PAGE) & ~col.rlike(_ODD_ATTRS)
+    return col.rlike(_PLAIN_PAGE)
 
 
-def _closed(source: Column) -> Column:
-    """Every end tag in the source closes an element that was opened in it."""
-    for _ in range(_PAIR_DEPTH):
-        source = F.regexp_replace(source, _PAIR, "")
-    return ~source.contains("</")
-
+def _whole(element: Column, tag: str) -> Column:
+    """The element ends at the end tag it was read to.
 
-def _readable(inner: Column, tag: str) -> Column:
-    """``inner`` ends where the element does, and its text decodes with ``_text``."""
-    return (
-        ~inner.rlike(rf"<(?i:{tag}){_END_OF_NAME}") & _closed(inner)
-        & ~inner.rlike(f"{_ODD_ENTITY}|{_ODD_GAP}")
-    )
+    That is, every end tag in it closes an element that was opened in it.
+    """
+    left = element
+    for _ in range(_PAIR_DEPTH):
+        left = F.regexp_replace(left, _PAIR, "")
+    return element.rlike(rf"{_end_tag(tag)}\z") & ~left.contains("</")
 
 
 def _decode(col: Column) -> Column:
+    decoded = col
     for entity, char in _DECODED.items():
-        col = F.replace(col, F.lit(entity), F.lit(char))
-    return F.replace(col, F.lit("&amp;"), F.lit("&"))
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    decoded = F.when(col.rlike("&(?!amp;)"), decoded).otherwise(col)
+    return F.replace(decoded, F.lit("&amp;"), F.lit("&"))
 
 
-def _text(inner: Column) -> Column:
+def _source_text(element: Column) -> Column:
+    """The text between the tags, entities as they are written."""
     # White space alone between two tags counts as one character.
-    col = F.regexp_replace(inner, r"(?<=>)[ \t\f\r]*+\n[ \t\n\f\r]*+(?=<)", "\n")
+    col = F.regexp_replace(element, r"(?<=>)[ \t\f\r]*+\n[ \t\n\f\r]*+(?=<)", "\n")
     col = F.regexp_replace(col, r"(?<=>)[ \t\f\r]++(?=<)", " ")
-    return _decode(F.regexp_replace(col, "<[^<>]*+>", ""))
+    col = F.when(element.rlike(r">[ \t\n\f\r]++<"), col).otherwise(element)
+    return F.regexp_replace(col, "<[^<>]*+>", "")
 
 
 def _attribute(start_tag: Column, attr: str) -> Column:
@@ -158,6 +183,12 @@ def _attribute(start_tag: Column, attr: str) -> Column:
     ])))
 
 
+def _body(html: str) -> Column:
+    """Plain markup without comments, scripts and styles; NULL for any other."""
+    # An empty comment stays in their place: it still parts the text around it.
+    return F.when(_plain(F.col(html)), F.regexp_replace(html, _SKIPPED, "<!---->"))
+
+
 # --- readers --------------------------------------------------------------
 
 def read_fields(df: DataFrame, html: str, fields: Mapping[str, Text | Attr]) -> DataFrame:
@@ -179,36 +210,31 @@ def read_fields(df: DataFrame, html: str, fields: Mapping[str, Text | Attr]) ->
         ]
         return pd.DataFrame(rows, columns=names, dtype=object)
 
-    # One stage per step, so that no regular expression is evaluated twice.
-    body = F.when(_plain(F.col(html)), F.regexp_replace(html, _SKIPPED, "<!---->"))
-    staged = df.withColumn("_body", body)
-    sources, sure = [], [F.col("_body").isNotNull()]
+    # One projection per step, so that no regular expression is evaluated twice.
+    staged = df.withColumn("_body", _body(html))
+    sources, sure, values = [], F.col("_body").isNotNull(), []
     for i, field in enumerate(fields.values()):
+        source = F.col(f"_{i}")
         if isinstance(field, Text):
-            start = _start_tag(field.tag, field.cls)
-            inner = _found(rf"{start}((?s:.*?))</(?i:{field.tag})\s*+>", F.col("_body"))
-            sources.append(inner.alias(f"_{i}"))
-            sources.append(F.col("_body").rlike(start).alias(f"_{i}_starts"))
-            sure.append(F.when(F.col(f"_{i}_starts"), _readable(F.col(f"_{i}"), field.tag))
-                        .otherwise(True))
+            sources.append(_first(_element(field.tag, field.cls), F.col("_body")).alias(f"_{i}"))
+            readable = _whole(source, field.tag) & ~source.rlike(f"{_ODD_ENTITY}|{_ODD_GAP}")
+            values.append(_source_text(source))
         else:
             tail = F.col("_body")
             for tag, cls in field.steps[:-1]:
                 tail = _after(tail, tag, cls)
-            sources.append(_found(f"({_start_tag(*field.steps[-1])})", tail).alias(f"_{i}"))
-            sure.append(F.coalesce(~F.col(f"_{i}").rlike(_ODD_ENTITY), F.lit(True)))
-    staged = staged.select("*", *sources)
-    certain = sure[0]
-    for condition in sure[1:]:
-        certain = certain & F.coalesce(condition, F.lit(False))
-    staged = staged.withColumn("_sure", certain)
-    staged = staged.withColumn("_parsed", parsed(F.when(~F.col("_sure"), F.col(html))))
+            sources.append(_first(_start_tag(*field.steps[-1]), tail).alias(f"_{i}"))
+            readable = ~source.rlike(_ODD_ENTITY)
+            values.append(_attribute(source, field.attr))
+        sure = sure & F.coalesce(readable, F.lit(True))
+    staged = staged.select("*", *sources).withColumn("_sure", sure)
+    staged = staged.select("*", *[
+        F.when(F.col("_sure"), value).alias(f"_v{i}") for i, value in enumerate(values)
+    ]).withColumn("_parsed", parsed(F.when(~F.col("_sure"), F.col(html))))
 
     read = []
     for i, (name, field) in enumerate(fields.items()):
-        source = F.col(f"_{i}")
-        value = _text(source) if isinstance(field, Text) else _attribute(source, field.attr)
-        value = F.when(F.col("_sure"), value).otherwise(F.col(f"_parsed.{name}"))
+        value = F.when(F.col("_sure"), _decode(F.col(f"_v{i}"))).otherwise(F.col(f"_parsed.{name}"))
         if isinstance(field, Text):
             value = py_strip(value)
             if field.remove:
@@ -226,8 +252,6 @@ def read_items(
     Counts those inside the container, beyond its end and nested in one another,
     in document order. NULL where the page has no container.
     """
-    tag, cls = container
-
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def parsed(pages: pd.Series) -> pd.Series:
         return pd.Series([
@@ -235,25 +259,22 @@ def read_items(
             for page in pages
         ], dtype=object)
 
-    body = F.when(_plain(F.col(html)), F.regexp_replace(html, _SKIPPED, "<!---->"))
-    any_item = _start_tag(item, None)
     staged = (
-        df.withColumn("_body", body)
-        .withColumn("_tail", _after(F.col("_body"), tag, cls))
-        .withColumn("_found", F.regexp_extract_all(
-            "_tail", F.lit(rf"{any_item}((?s:.*?))</(?i:{item})\s*+>"), F.lit(1)))
+        df.withColumn("_body", _body(html))
+        .withColumn("_tail", _after(F.col("_body"), *container))
+        .withColumn("_found", F.regexp_extract_all("_tail", F.lit(_element(item, None)), F.lit(0)))
     )
     sure = F.col("_body").isNotNull() & F.coalesce(
-        (F.size("_found") == F.regexp_count("_tail", F.lit(any_item)))
-        & F.forall("_found", _closed),
-        F.lit(True),
+        F.forall("_found", lambda source: _whole(source, item)), F.lit(True)
     )
     staged = staged.withColumn("_sure", sure)
     staged = staged.withColumn("_parsed", parsed(F.when(~F.col("_sure"), F.col(html))))
-    items = F.when(F.col("_sure"), F.col("_found")).otherwise(F.col("_parsed"))
+    inner = F.transform("_found", lambda source: F.regexp_replace(
+        _past_start(source), rf"{_end_tag(item)}\z", ""))
+    items = F.when(F.col("_sure"), inner).otherwise(F.col("_parsed"))
     return staged.select(*df.columns, items.alias("items"))
 
 
 def start_tags(col: Column, tag: str) -> Column:
     """All start tags of a name in plainly written markup, in document order."""
-    return F.regexp_extract_all(col, F.lit(f"({_start_tag(tag, None)})"), F.lit(1))
+    return F.regexp_extract_all(col, F.lit(_start_tag(tag, None)), F.lit(0))

@@ -1,0 +1,146 @@
+"""Keyed target: one row per key, the last write wins.
+
+Parquet files cannot be updated, so a micro-batch is appended as a set of changes
+and the table is what the changes add up to. ``compact`` folds the changes into a
+snapshot that is bucketed by key. Reading joins the snapshot with the changes made
+since: the snapshot keeps its partitioning, only the changes are shuffled.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from feedloom.operators.latest import latest_per_key
+from feedloom.operators.validity import split_valid
+from feedloom.sinks.batches import batch_folder, read_batches
+
+_COMMIT = "version string, made timestamp, buckets int, run string, upto long"
+
+
+def create_namespace(spark: SparkSession, database: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, location: str | None = None
+) -> None:
+    """A Parquet table, if there is none of that name."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{where}")
+
+
+@dataclass
+class KeyedTable:
+    """A keyed target in a folder of its own.
+
+    order_by  columns that tell which of two writes of a key is the later one;
+              ties fall to the other columns
+    rules     conditions a row must keep, besides a key that is not NULL
+    buckets   of the snapshot; choose it so that one bucket fits a task's memory
+    """
+
+    path: str
+    schema: T.StructType
+    key: str
+    order_by: Sequence[str]
+    rules: Mapping[str, Column] = field(default_factory=dict)
+    buckets: int = 64
+
+    def sink(self, batch: DataFrame, batch_id: int, run: str) -> None:
+        """Sink for ``runs.start``. Playing a batch again replaces its changes."""
+        batch = batch.select(*self.schema.fieldNames()).persist()
+        try:
+            rules = {f"no {self.key}": F.col(self.key).isNotNull(), **self.rules}
+            good, bad = split_valid(batch, rules)
+            latest_per_key(good, self.key, self.order_by).write.mode("overwrite").parquet(
+                batch_folder(f"{self.path}/changes", batch_id, run))
+            bad.write.mode("overwrite").parquet(
+                batch_folder(f"{self.path}/rejected", batch_id, run))
+        finally:
+            batch.unpersist()
+
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        reasons = T.StructField("reasons", T.ArrayType(T.StringType()))
+        return read_batches(
+            spark, self.path, T.StructType([*self.schema.fields, reasons]), "rejected"
+        )
+
+    def changes(self, spark: SparkSession) -> DataFrame:
+        return read_batches(spark, self.path, self.schema, "changes")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The table as it stands: the latest row of every key."""
+        commit = self._last_commit(spark)
+        changes = self.changes(spark)
+        # One condition per checkpoint that ever fed the table; it prunes folders.
+        for row in commit:
+            changes = changes.filter(~((F.col("run") == row.run) & (F.col("batch_id") <= row.upto)))
+        changes = latest_per_key(changes.drop("run", "batch_id"), self.key, self.order_by)
+        if not commit:
+            return changes
+        rank = [*self.order_by, *[
+            c for c in self.schema.fieldNames() if c != self.key and c not in self.order_by
+        ]]
+        old = self._snapshot(spark, commit[0].version, commit[0].buckets).select(
+            self.key, F.struct(*rank).alias("old"))
+        new = changes.select(self.key, F.struct(*rank).alias("new"))
+        row = F.greatest("old", "new")  # skips the side that is NULL
+        return old.join(new, self.key, "full_outer").select(
+            self.key, row.alias("row")
+        ).select(*[
+            F.col(c) if c == self.key else F.col(f"row.{c}").alias(c)
+            for c in self.schema.fieldNames()
+        ])
+
+    def compact(self, spark: SparkSession) -> None:
+        """Fold the changes made so far into a new snapshot.
+
+        The snapshot counts once its commit is written; until then, and if the
+        job dies, readers go on with the one before. The last batch of a run may
+        still be in the making, so it counts as not folded in: folding it twice
+        changes nothing.
+        """
+        done = self.changes(spark).groupBy("run").agg(F.max("batch_id").alias("last")).collect()
+        if not done:
+            return
+        version = uuid.uuid4().hex
+        table, last = self.read(spark), self._last_commit(spark)
+        if not last or last[0].buckets != self.buckets:
+            # Otherwise each task of the join holds one bucket already.
+            table = table.repartition(self.buckets, self.key)
+        (
+            table.write.bucketBy(self.buckets, self.key).sortBy(self.key).format("parquet")
+            .option("path", f"{self.path}/snapshots/{version}").saveAsTable(f"feedloom_{version}")
+        )
+        commit = spark.createDataFrame(
+            [(version, self.buckets, row.run, row.last - 1) for row in done],
+            "version string, buckets int, run string, upto long",
+        ).withColumn("made", F.current_timestamp())
+        commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+
+    def _last_commit(self, spark: SparkSession) -> list:
+        try:
+            commits = spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        last = commits.agg(F.max_by("version", "made")).first()[0]
+        return commits.filter(F.col("version") == last).collect()
+
+    def _snapshot(self, spark: SparkSession, version: str, buckets: int) -> DataFrame:
+        """The snapshot as a bucketed table, made known to this session's catalog if need be."""
+        name = f"feedloom_{version}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {buckets} BUCKETS "
+            f"LOCATION '{self.path}/snapshots/{version}'"
+        )
+        return spark.table(name)

@@ -1,0 +1,99 @@
+"""Starting and ending streaming queries, and where they keep their progress."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+BatchSink = Callable[[DataFrame, int, str], None]
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the session names it.
+
+    Only a local session may go without one; it gets a temporary folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if spark.conf.get("spark.master", "").startswith("local"):
+        return tempfile.mkdtemp(prefix="feedloom-")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one run; nothing is ever deleted from it."""
+    return f"{shared_folder(spark)}/feedloom/{name}-{uuid.uuid4().hex}"
+
+
+def claim_checkpoint(spark: SparkSession, root: str, query: str, target: str) -> tuple[str, str]:
+    """(checkpoint folder, run id) of a query; refuses one that feeds another target.
+
+    A query that started on a foreign checkpoint would begin at the other's
+    offsets and skip its data without a word. The run id lives as long as the
+    checkpoint, so that (run id, batch id) names a micro-batch for good: a new
+    checkpoint starts again at batch 0 but not at the same name.
+    """
+    folder = f"{root}/{query}"
+    owner = f"{folder}/owner"
+    try:
+        claim = spark.read.schema("query string, target string, run string").json(owner).head()
+    except AnalysisException:
+        claim = None
+    if claim is None:
+        run = uuid.uuid4().hex
+        spark.createDataFrame([(query, target, run)], "query string, target string, run string") \
+            .coalesce(1).write.mode("errorifexists").json(owner)
+    elif (claim.query, claim.target) != (query, target):
+        raise ValueError(
+            f"checkpoint {folder} belongs to query {claim.query!r} writing to {claim.target!r}"
+        )
+    else:
+        run = claim.run
+    return f"{folder}/progress", run
+
+
+def start(
+    stream: DataFrame,
+    query: str,
+    sink: BatchSink,
+    *,
+    target: str,
+    checkpoint_root: str,
+    every: str | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Start a query that hands (batch, batch id, run id) to ``sink``; does not wait.
+
+    By default a batch starts when the last ends; ``every`` paces them, e.g.
+    "5 seconds"; ``available_now`` works off what is there and ends.
+    """
+    checkpoint, run = claim_checkpoint(stream.sparkSession, checkpoint_root, query, target)
+    writer = (
+        stream.writeStream.queryName(query).outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: sink(batch, batch_id, run))
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
+    return writer.start()
+
+
+def run_bounded(query: StreamingQuery, timeout: float | None = 180) -> bool:
+    """Wait for at most ``timeout`` seconds, then stop; True if the query ended by itself.
+
+    A failure of the query is raised. Stopping within a batch is safe, it is run
+    again on the next start.
+    """
+    try:
+        return bool(query.awaitTermination(timeout)) if timeout else query.awaitTermination() is None
+    finally:
+        if query.isActive:
+            query.stop()
