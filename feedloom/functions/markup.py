@@ -19,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedloom.functions import page_parser
+from feedloom.functions.once import select_once, with_once
 from feedloom.functions.text import py_strip, remove_literal
 
 # Executors need not have this package installed: the parser travels with its UDF.
@@ -240,8 +241,9 @@ def read_fields(df: DataFrame, html: str, fields: Mapping[str, Text | Attr]) ->
             if field.remove:
                 value = remove_literal(value, field.remove)
         read.append(value.alias(name))
+    rows = select_once(staged, df.columns, read)
     absent = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in names]))
-    return staged.select(*df.columns, *read).withColumn("missing", absent)
+    return rows.withColumn("missing", absent)
 
 
 def read_items(
@@ -272,7 +274,7 @@ def read_items(
     inner = F.transform("_found", lambda source: F.regexp_replace(
         _past_start(source), rf"{_end_tag(item)}\z", ""))
     items = F.when(F.col("_sure"), inner).otherwise(F.col("_parsed"))
-    return staged.select(*df.columns, items.alias("items"))
+    return with_once(staged, "items", items).select(*df.columns, "items")
 
 
 def start_tags(col: Column, tag: str) -> Column:

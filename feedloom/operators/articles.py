@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from feedloom.functions.markup import Attr, Text, read_fields, read_items
+from feedloom.operators.validity import fail_unless
 
 
 @dataclass(frozen=True)
@@ -41,8 +42,7 @@ NEWS = Layout(
 def checked(df: DataFrame, missing: str = "missing") -> DataFrame:
     """The same rows; the first that lacks an element fails the job."""
     message = F.concat(F.lit("elements not found: "), F.array_join(missing, ", "))
-    return df.filter(
-        F.when(F.size(missing) == 0, True).otherwise(F.raise_error(message).cast("boolean")))
+    return fail_unless(df, F.size(missing) == 0, message)
 
 
 def listed_articles(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from feedloom.operators.latest import latest_per_key
+from feedloom.operators.validity import fail_unless
 
 # A link is hot when it is on more than this share of all rows, so there are at most 1,000.
 HOT_SHARE = 0.001
@@ -58,6 +59,5 @@ def enrich(
     joined = joined.select(*listing.columns, *extra, F.col("_url").isNotNull().alias("found"))
     if strict:
         message = F.concat(F.lit("no page at "), F.coalesce(link, F.lit("NULL")))
-        joined = joined.filter(
-            F.when(F.col("found"), True).otherwise(F.raise_error(message).cast("boolean")))
+        joined = fail_unless(joined, F.col("found"), message)
     return joined

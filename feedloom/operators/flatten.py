@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedloom.functions.once import select_once
+
 # Output name -> path inside the first element of ``results``.
 PATHS = {
     "first_name": "name.first",
@@ -78,8 +80,8 @@ def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool =
     missing = F.array_compact(F.array(*[
         F.when(F.col(f"leaf.{name}").isNull(), F.lit(path)) for name, path in paths.items()
     ]))
-    return docs.select(
-        *payloads.columns, *[columns[n].alias(n) for n in order], missing.alias("missing")
+    return select_once(
+        docs, payloads.columns, [*[columns[n].alias(n) for n in order], missing.alias("missing")]
     )
 
 

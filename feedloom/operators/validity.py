@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedloom.functions.once import with_once
 from feedloom.schemas import UUID_PATTERN
 
 
@@ -18,12 +19,18 @@ def reasons(rules: Mapping[str, Column]) -> Column:
 
 def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(rows that keep every rule, the other rows with a ``reasons`` array)."""
-    tagged = df.withColumn("reasons", reasons(rules))
+    tagged = with_once(df, "reasons", reasons(rules))
     return (
         tagged.filter(F.size("reasons") == 0).drop("reasons"),
         tagged.filter(F.size("reasons") > 0),
     )
 
 
+def fail_unless(df: DataFrame, condition: Column, message: Column) -> DataFrame:
+    """The same rows; the first that does not meet the condition fails the job."""
+    verdict = F.when(condition, True).otherwise(F.raise_error(message).cast("boolean"))
+    return with_once(df, "_verdict", verdict).filter("_verdict").drop("_verdict")
+
+
 def is_uuid(col: Column) -> Column:
     return col.rlike(UUID_PATTERN)

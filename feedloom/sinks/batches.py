@@ -38,7 +38,7 @@ def read_batches(
     spark: SparkSession, path: str, schema: T.StructType | str, kind: str = "rows"
 ) -> DataFrame:
     """All rows appended so far, with ``run`` and ``batch_id``; none before the first batch."""
-    full = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(schema.fields)
+    full = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))
     full = full.add("run", T.StringType()).add("batch_id", T.LongType())
     try:
         return spark.read.schema(full).parquet(f"{path}/{kind}")

@@ -33,7 +33,8 @@ def read_topic(
             reader.format("kafka").option("subscribe", ",".join(topics))
             .option("startingOffsets", "earliest").options(**(options or {})).load()
         )
-    names = topics[0] if len(topics) == 1 else "{" + ",".join(topics) + "}"
+    # A stream heeds basePath, which makes "topic" a column, only where the path is a glob.
+    names = "{" + ",".join(topics) + "}"
     return (
         reader.schema(ENVELOPE).options(**(options or {})).option("basePath", path)
         .parquet(f"{path}/topic={names}")
