@@ -22,7 +22,3 @@ def remove_literal(col: Column, literal: str, anchored: bool = False) -> Column:
         return F.regexp_replace(col, rf"\A\Q{literal}\E\s+", "")
     return F.replace(col, F.lit(literal), F.lit(""))
 
-
-def or_none(col: Column) -> Column:
-    """A value as an f-string shows it: NULL reads ``None``."""
-    return F.coalesce(col.cast("string"), F.lit("None"))

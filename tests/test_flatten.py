@@ -1,0 +1,119 @@
+"""API responses to flat records, and records to messages and back."""
+
+import copy
+import json
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from feedloom.operators.decode import decode
+from feedloom.operators.flatten import complete, flatten_users
+from feedloom.operators.validity import split_valid
+from feedloom.schemas import USER, USER_FIELDS, strings
+from feedloom.sources.topics import as_messages
+
+USER_DOC = {
+    "gender": "male", "name": {"first": "José", "last": "L"},
+    "location": {"street": {"number": 12, "name": "S"}, "city": "C", "state": "T",
+                 "country": "K", "postcode": 90210},
+    "email": "e", "login": {"username": "u"}, "dob": {"date": "d"}, "registered": {"date": "r"},
+    "phone": "p", "picture": {"medium": "m"},
+}
+
+
+def payload(**location):
+    doc = copy.deepcopy(USER_DOC)
+    doc["location"].update(location)
+    return json.dumps({"results": [doc, {}]})
+
+
+def flat(spark, raws, **options):
+    df = spark.createDataFrame(list(enumerate(raws)), "i int, raw string")
+    return flatten_users(df, **options)
+
+
+def without(path):
+    doc = copy.deepcopy(USER_DOC)
+    *parents, last = path.split(".")
+    at = doc
+    for name in parents:
+        at = at[name]
+    del at[last]
+    return json.dumps({"results": [doc]})
+
+
+def test_fields(spark):
+    row = flat(spark, [payload()]).first()
+    assert row.missing == []
+    assert [row[f] for f in USER_FIELDS] == [
+        "José", "L", "male", "12 S, C T K", "90210", "e", "u", "d", "r", "p", "m"]
+
+
+@pytest.mark.parametrize("raw, field, value", [
+    (payload(postcode="SW1"), "postcode", "SW1"),
+    (payload(city=None), "address", "12 S, None T K"),
+    (payload(street={"number": None, "name": None}), "address", "None None, C T K"),
+    (payload(street={"number": "12a", "name": True}), "address", "12a True, C T K"),
+])
+def test_odd_values(spark, raw, field, value):
+    row = flat(spark, [raw]).first()
+    assert row.missing == [] and row[field] == value
+
+
+@pytest.mark.parametrize("raw", [
+    '{"results":[]}', '{"error":"x"}', "<html>", "", None, "[]", '{"results":{"0":{}}}',
+    payload() + " trailing", payload() + "," + payload(), payload(street=None), payload(street="S"),
+    *[without(p) for p in ["gender", "name", "name.first", "location.city", "location.street.number",
+                           "login", "picture.medium", "phone"]],
+])
+def test_rejected(spark, raw):
+    good, bad = split_valid(flat(spark, [raw]), {"missing path": complete()})
+    assert good.count() == 0
+    assert [(r.raw, r.reasons) for r in bad.collect()] == [(raw, ["missing path"])]
+
+
+def test_missing_names_the_path(spark):
+    assert flat(spark, [without("location.city")]).first().missing == ["location.city"]
+
+
+def test_repeated_key_is_rejected_unless_the_session_allows_it(spark):
+    raw = payload().replace('"phone": "p"', '"phone": "a", "phone": "b"')
+    assert flat(spark, [raw]).first().missing != []
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    try:
+        assert flat(spark, [raw]).first().phone == "b"
+    finally:
+        spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+
+
+@pytest.mark.parametrize("postcode", [90210, "SW1", None])
+def test_message_is_the_json_of_the_record(spark, postcode):
+    users = flat(spark, [payload(postcode=postcode)], typed_postcode=True).select(*USER_FIELDS)
+    message = as_messages(users, "t").first()
+    assert message.key is None and message.topic == "t"
+    record = json.loads(bytes(message.value).decode("utf-8"))
+    assert list(record) == USER_FIELDS
+    assert record["postcode"] == postcode and record["first_name"] == "José"
+
+
+text = st.one_of(st.none(), st.text(st.characters(codec="utf-8")))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(*[text] * 3), min_size=1, max_size=20))
+def test_decode_undoes_publish(spark, rows):
+    schema = strings(["a", "b", "c"])
+    df = spark.createDataFrame(rows, schema)
+    got = decode(as_messages(df, "t"), schema).collect()
+    assert [tuple(r) for r in got] == rows
+
+
+def test_decode_undoes_publish_for_users(spark):
+    users = flat(spark, [payload(), payload(city=None)]).select(*USER_FIELDS)
+    assert decode(as_messages(users, "t"), USER).collect() == users.collect()
+
+
+def test_filter_does_not_parse_again(spark):
+    good, _ = split_valid(flat(spark, [payload()]), {"missing path": complete()})
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1
