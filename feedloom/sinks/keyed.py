@@ -81,7 +81,12 @@ class KeyedTable:
         # One condition per checkpoint that ever fed the table; it prunes folders.
         for row in commit:
             changes = changes.filter(~((F.col("run") == row.run) & (F.col("batch_id") <= row.upto)))
-        changes = latest_per_key(changes.drop("run", "batch_id"), self.key, self.order_by)
+        changes = changes.drop("run", "batch_id")
+        if commit:
+            # Partitioned like the snapshot, which thus stays where it is. A batch holds
+            # a key once, so there is nothing to gain from aggregating before this.
+            changes = changes.repartition(commit[0].buckets, self.key)
+        changes = latest_per_key(changes, self.key, self.order_by)
         if not commit:
             return changes
         rank = [*self.order_by, *[
