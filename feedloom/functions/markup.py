@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedloom.functions import page_parser
-from feedloom.functions.once import select_once, with_once
+from feedloom.functions.once import names_where, select_once, with_once
 from feedloom.functions.text import py_strip, remove_literal
 
 # Executors need not have this package installed: the parser travels with its UDF.
@@ -242,8 +242,7 @@ def read_fields(df: DataFrame, html: str, fields: Mapping[str, Text | Attr]) ->
                 value = remove_literal(value, field.remove)
         read.append(value.alias(name))
     rows = select_once(staged, df.columns, read)
-    absent = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in names]))
-    return rows.withColumn("missing", absent)
+    return rows.withColumn("missing", names_where({n: F.col(n).isNull() for n in names}))
 
 
 def read_items(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedloom.functions.once import select_once
+from feedloom.functions.once import names_where, select_once
 
 # Output name -> path inside the first element of ``results``.
 PATHS = {
@@ -27,10 +27,9 @@ ADDRESS_PATHS = [
 
 def _shown(name: str) -> Column:
     """A scalar as Python's ``str`` shows it: null is ``None``, booleans are capitalised."""
-    leaf = F.col(f"leaf.{name}")
-    text = F.try_variant_get(leaf, "$", "string")
-    return F.when(F.is_variant_null(leaf), "None").when(
-        F.schema_of_variant(leaf) == "BOOLEAN", F.initcap(text)
+    leaf, text = F.col(f"leaf.{name}"), F.col(f"text.{name}")
+    return F.when(text.isNull() & leaf.isNotNull(), "None").when(
+        text.isin("true", "false") & (F.schema_of_variant(leaf) == "BOOLEAN"), F.initcap(text)
     ).otherwise(text)
 
 
@@ -62,14 +61,14 @@ def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool =
     docs = payloads.withColumn("doc", F.try_parse_json(wrapped)).withColumn(
         "leaf", F.when(F.try_variant_get("doc", "$.end", "bigint") == end, leaves)
     )
-
-    def text(name):
-        return F.try_variant_get(F.col(f"leaf.{name}"), "$", "string")
+    docs = docs.withColumn("text", F.struct(*[
+        F.try_variant_get(F.col(f"leaf.{name}"), "$", "string").alias(name) for name in paths
+    ]))
 
     number, street, city, state, country = [
         _shown(f"address_{i}") for i in range(len(ADDRESS_PATHS))
     ]
-    columns = {name: text(name) for name in PATHS}
+    columns = {name: F.col(f"text.{name}") for name in PATHS}
     columns["address"] = F.concat(
         number, F.lit(" "), street, F.lit(", "), city, F.lit(" "), state, F.lit(" "), country
     )
@@ -77,9 +76,8 @@ def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool =
         columns["postcode"] = F.col("leaf.postcode")
     order = list(PATHS)
     order.insert(order.index("postcode"), "address")
-    missing = F.array_compact(F.array(*[
-        F.when(F.col(f"leaf.{name}").isNull(), F.lit(path)) for name, path in paths.items()
-    ]))
+    absent = {path: F.col(f"leaf.{name}").isNull() for name, path in paths.items()}
+    missing = names_where(absent)
     return select_once(
         docs, payloads.columns, [*[columns[n].alias(n) for n in order], missing.alias("missing")]
     )

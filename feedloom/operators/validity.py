@@ -6,15 +6,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedloom.functions.once import with_once
+from feedloom.functions.once import names_where, with_once
 from feedloom.schemas import UUID_PATTERN
 
 
 def reasons(rules: Mapping[str, Column]) -> Column:
     """Names of the rules a row breaks; a rule that is NULL counts as broken."""
-    return F.array_compact(F.array(*[
-        F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()
-    ]))
+    return names_where({
+        name: ~F.coalesce(rule, F.lit(False)) for name, rule in rules.items()
+    })
 
 
 def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:

@@ -52,6 +52,7 @@ def test_fields(spark):
 @pytest.mark.parametrize("raw, field, value", [
     (payload(postcode="SW1"), "postcode", "SW1"),
     (payload(city=None), "address", "12 S, None T K"),
+    (payload(city="true"), "address", "12 S, true T K"),
     (payload(street={"number": None, "name": None}), "address", "None None, C T K"),
     (payload(street={"number": "12a", "name": True}), "address", "12a True, C T K"),
 ])
@@ -61,7 +62,7 @@ def test_odd_values(spark, raw, field, value):
 
 
 @pytest.mark.parametrize("raw", [
-    '{"results":[]}', '{"error":"x"}', "<html>", "", None, "[]", '{"results":{"0":{}}}',
+    payload().replace('"', "'"), '{"results":[]}', '{"error":"x"}', "<html>", "", None, "[]", '{"results":{"0":{}}}',
     payload() + " trailing", payload() + "," + payload(), payload(street=None), payload(street="S"),
     *[without(p) for p in ["gender", "name", "name.first", "location.city", "location.street.number",
                            "login", "picture.medium", "phone"]],
