@@ -539,7 +539,9 @@ def q_byline(spark, sf_dir):
 
 
 @check(f"""
-    SELECT page_id, 0 AS pos, url AS link, {text_sql(ARTICLE_SQL)} AS text, TRUE AS found FROM pages
+    SELECT page_id, 0 AS pos, url AS link, max({text_sql(ARTICLE_SQL)}) OVER (PARTITION BY url) AS text,
+           TRUE AS found
+    FROM pages
 """)
 def q_enrich(spark, sf_dir):
     work = runs.fresh_folder(spark, "enrich")
@@ -591,8 +593,9 @@ def news_site(spark, sf_dir):
 TITLE_SQL = text_sql("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")
 NEWS_SQL = f"""
     SELECT page_id, 0 AS pos, {TITLE_SQL} AS title, 'On ' || page_id AS excerpt,
-           'day ' || page_id AS date, url AS link, ' ron' AS author, {TITLE_SQL} AS content,
-           '/' || page_id || '.png' AS image
+           'day ' || page_id AS date, url AS link, ' ron' AS author,
+           arg_max({TITLE_SQL}, page_id) OVER (PARTITION BY url) AS content,
+           '/' || max(page_id) OVER (PARTITION BY url) || '.png' AS image
     FROM pages
     UNION ALL
     SELECT page_id, 1, 'Front & last', 'On ' || page_id, 'day ' || page_id, '/front', ' Jane',
