@@ -64,6 +64,8 @@ def listed_articles(
         listed = F.coalesce(
             listed, F.raise_error(F.lit("page without container")).cast("array<string>"))
     rows = items.select(*keep, F.posexplode(listed).alias("pos", "_item"))
+    # An entity may end with the tag that ends the item, so that tag is put back.
+    rows = rows.withColumn("_item", F.concat("_item", F.lit(f"</{layout.item}>")))
     rows = read_fields(rows, "_item", layout.listed).drop("_item")
     return checked(rows) if strict else rows
 

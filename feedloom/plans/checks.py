@@ -447,8 +447,11 @@ ARTICLE_SQL = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
 
 
 def text_sql(source: str) -> str:
-    """What ``Text`` reads, for a column or expression with the inner source."""
-    steps = source
+    """What ``Text`` reads, for a column or expression with the inner source.
+
+    A tag ends an entity as a semicolon does, which must be seen before the tags go.
+    """
+    steps = f"regexp_replace({source}, '&(amp|lt|gt|quot|copy|middot)(<|$)', '&\\1;\\2', 'g')"
     for pattern, new in [
         ("<!--.*?-->|<script.*?</script>|<style.*?</style>", "<!---->"),
         (">[ \\t\\f\\r]*\\n[ \\t\\n\\f\\r]*<", ">\n<"), (">[ \\t\\f\\r]+<", "> <"), ("<[^<>]*>", ""),

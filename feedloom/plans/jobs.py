@@ -89,9 +89,9 @@ def users_to_table(
 
 
 def save_created_users(spark: SparkSession, path: str, location: str) -> None:
-    """The keyed table as it stands, as the catalog table users query."""
-    create_namespace(spark, USER_DATABASE)
-    create_table(spark, f"{USER_DATABASE}.{USER_TABLE}", CREATED_USER, location)
+    """The keyed table as it stands, as the catalog table users query, below ``location``."""
+    create_namespace(spark, USER_DATABASE, location)
+    create_table(spark, f"{USER_DATABASE}.{USER_TABLE}", CREATED_USER, f"{location}/{USER_TABLE}")
     created_users(path).read(spark).select(*CREATED_USER_FIELDS).write.mode(
         "overwrite").insertInto(f"{USER_DATABASE}.{USER_TABLE}")
 

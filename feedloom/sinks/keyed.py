@@ -22,8 +22,10 @@ from feedloom.sinks.batches import batch_folder, read_batches
 _COMMIT = "version string, made timestamp, buckets int, run string, upto long"
 
 
-def create_namespace(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """A database, if there is none of that name; by default in the session's warehouse."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
 
 
 def create_table(

@@ -1,4 +1,7 @@
-"""Runs the checked queries next to their SQL in DuckDB: ``python tests/oracle.py [sf] [name ...]``."""
+"""Runs the checked queries next to their SQL in DuckDB.
+
+``python tests/oracle.py [scale factor or folder] [query ...]``
+"""
 
 import math
 import os
@@ -53,7 +56,8 @@ if __name__ == "__main__":
 
     from __spark_entry__ import oracle_sql, queries
 
-    sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
+    scale = sys.argv[1] if len(sys.argv) > 1 else "0.01"
+    sf_dir = scale if "/" in scale else f"/root/testdata/sf{scale}"
     spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config(
         "spark.sql.shuffle.partitions", "8").config("spark.ui.showConsoleProgress", "false").config(
         "spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate()

@@ -102,6 +102,14 @@ def test_news_csv(spark, site, work):
     assert [tuple(r) for r in read_csv_export(spark, f"{work}/csv", ARTICLE).collect()] == EXPECTED
 
 
+def test_entity_ended_by_the_end_of_the_item(spark):
+    html = """<div class="latest-news-timeline-section"><article><h1 class="post-title">a &amp</h1>
+        <p class="post-excerpt">open &eacute</article>"""
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    row = listed_articles(pages).first()
+    assert (row.title, row.excerpt) == ("a &", "open é")
+
+
 @pytest.mark.parametrize("html, message", [
     ("<article><h1 class='post-title'>t</h1></article>", "page without container"),
     (LISTING.replace("post-excerpt", "other"), "elements not found: excerpt"),
