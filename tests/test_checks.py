@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from feedloom.plans.checks import CHECKS
 from oracle import connect, difference
 
 
@@ -11,9 +12,9 @@ def db(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(CHECKS))
 def test_query(spark, db, sf_dir, name):
-    assert difference(spark, db, queries()[name], oracle_sql()[name], sf_dir) is None
+    assert difference(spark, db, CHECKS[name].query, CHECKS[name].sql, sf_dir) is None
 
 
 def test_entry(spark):
