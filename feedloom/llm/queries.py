@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.common import table
+from feedloom.llm.packing import pack
 from feedloom.llm.simhash import hex_of, near_duplicates
+from feedloom.llm.token_file import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -15,6 +17,13 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer() -> str:
+    """The public byte-level BPE vocabulary; the same path on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
@@ -24,3 +33,13 @@ def query(function: Query) -> Query:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select(found.id.alias("doc_id"), hex_of("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer(), capacity=1024, end_id=0).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer(), end_id=2).withColumnRenamed("id", "doc_id")

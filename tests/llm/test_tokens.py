@@ -1,0 +1,141 @@
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, strategies as st
+from tokenizers import Tokenizer
+
+from feedloom.llm.packing import balance, pack
+from feedloom.llm.token_file import decode, encode, round_trip
+from feedloom.llm.tokens import Encoder
+
+from .conftest import odd_rows
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def ours():
+    return Encoder(PATH)
+
+
+def test_encoder_equals_library(library, ours):
+    texts = [t or "" for _, t, _, _ in odd_rows()] + ["a\x1cb \x85c d", "  x\n\n  y  ", "I'll we've 'S 's it's", "½ ² ª º µ ß"]
+    for text, ids in zip(texts, ours.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library(text)
+
+
+@given(st.text(alphabet=st.sampled_from("aZé'ßs \n\t\r\f\v01.,-—«ſİ \x1ć漢"), max_size=40))
+def test_encoder_on_any_text(text):
+    assert np.frombuffer(_ours().encode([text])[0], "<u4").tolist() == _library().encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_starts_anew_when_full(library):
+    small = Encoder(PATH)
+    small.KEPT = 3
+    for text in ("one two three", "four five six", "one two seven"):
+        assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == library(text)
+    assert len(small._ids) <= 3
+
+
+_KEPT = {}
+
+
+def _ours():
+    return _KEPT.setdefault("ours", Encoder(PATH))
+
+
+def _library():
+    if "library" not in _KEPT:
+        _KEPT["library"] = Tokenizer.from_file(PATH)
+        _KEPT["library"].encode_special_tokens = True
+    return _KEPT["library"]
+
+
+def ids_of(library, rows, end):
+    return Counter((i, tuple(library(t or "")) + (end,)) for i, t, _, _ in rows)
+
+
+def test_packing(odd, library):
+    rows = pack(odd, PATH, capacity=256, group=16).collect()
+    sequences, docs = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        docs[r.id, r.doc_tokens].append(r)
+    padding = 0
+    for pieces in sequences.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end and length > 0
+            end += length
+        assert end <= 256
+        padding += 256 - end
+    assert padding < 256 * 5  # less than a sequence for each of the groups
+    for (i, tokens), count in Counter((i, len(ids)) for i, ids in ids_of(library, odd_rows(), 0).elements()).items():
+        covered = Counter(p for r in docs.pop((i, tokens)) for p in range(r.start, r.start + r.length))
+        assert covered == Counter({p: count for p in range(tokens)})
+    assert not docs
+    whole = {(i, len(ids)): ids for i, ids in ids_of(library, odd_rows(), 0)}
+    for r in rows:
+        ids = whole[r.id, r.doc_tokens][r.start:r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+
+
+def test_packing_of_nothing(none):
+    assert pack(none, PATH).collect() == []
+
+
+def test_balance_is_even_and_cuts_little():
+    lengths = np.random.default_rng(3).integers(1, 1024, 3000)
+    (document, start, length, sequence, offset), count = balance(lengths, 1024)
+    assert count == -(-lengths.sum() // 1024) and (np.bincount(document, length) == lengths).all()
+    assert np.bincount(sequence, length).max() <= 1024
+    assert (np.bincount(document) == 1).mean() > 0.75
+    work = np.bincount(sequence, length + length * length / 1024)
+    assert work.std() / work.mean() < 0.25
+
+
+def test_file_round_trip_of_the_table(odd, library):
+    got = round_trip(odd, PATH, file_ids=20_000).collect()
+    expected = sorted(ids_of(library, odd_rows(), 2).elements(), key=lambda x: (x[0] is not None, x[0] or 0))
+    got.sort(key=lambda r: r.start)
+    place = 0
+    for r in got:
+        assert r.start == place
+        place += r.n_tokens
+    assert [r.id for r in got] == [i for i, _ in expected]
+    assert Counter((r.id, r.n_tokens, r.ids_crc32) for r in got) == Counter(
+        (i, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))) for i, ids in expected)
+
+
+def test_files_of_nothing(none):
+    assert round_trip(none, PATH).collect() == []
+
+
+@given(st.lists(st.lists(st.integers(0, 70_000), max_size=30), max_size=8))
+def test_coding(docs):
+    ids = np.array([x for d in docs for x in d], np.uint32)
+    names = [None if n % 3 == 2 else n for n in range(len(docs))]
+    content = encode(names, np.array([len(d) for d in docs], np.int64), ids)
+    back = decode(content)
+    assert back[0] == names and back[1].tolist() == [len(d) for d in docs] and (back[2] == ids).all()
+    if len(ids):
+        with pytest.raises(ValueError):
+            decode(content[:-1])
+
+
+def test_coding_of_wide_ranks():
+    ids = np.arange(70_000, dtype=np.uint32)[::-1].repeat(2)
+    content = encode([1], np.array([len(ids)]), ids)
+    assert (decode(content)[2] == ids).all()
+    assert len(content) < 4 * 70_000 + len(ids) * 2.5 + 2 * (70_000 - 65_536) + 100
