@@ -71,7 +71,7 @@ SQL["op4_decontamination"] = r"""
     SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
         sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
     FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
-""".replace("\\", "\")
+"""
 
 
 @query
