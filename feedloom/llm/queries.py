@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedloom.llm.common import table
 from feedloom.llm.decontamination import find_leaks
+from feedloom.llm.language_id import held_out, predict, train
 from feedloom.llm.packing import pack
+from feedloom.llm.secrets import KINDS, OWNED, find_secrets
 from feedloom.llm.simhash import hex_of, near_duplicates
 from feedloom.llm.token_file import round_trip
 
@@ -77,3 +79,31 @@ SQL["op4_decontamination"] = r"""
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer(), end_id=2).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"), max_owners=2)
+    names = F.array(*map(F.lit, KINDS))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def listed(spans):
+        return F.concat_ws(",", F.transform(
+            spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])))
+
+    return found.select(
+        F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"] != OWNED)), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"), count(OWNED).alias("n_owned"),
+        F.size(F.filter("spans", lambda s: ~s["owned"])).cast("long").alias("n_examples"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    test = held_out("doc_id", 3, 1)
+    model = train(docs.where(F.col("doc_id").isNotNull() & ~test))
+    return predict(docs, model).select(
+        F.col("id").alias("doc_id"), held_out("id", 3, 1).alias("held_out"), F.col("label").alias("lang_pred"), "score")
