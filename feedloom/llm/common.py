@@ -34,6 +34,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def modest(df: DataFrame, size: str = "8m") -> DataFrame:
+    """Send rows to Python in batches of about ``size`` from now on, whatever the length of the texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return df
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes of all values, n + 1 offsets); null counts as empty."""
     column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from feedloom.llm import extraction
 from feedloom.llm.common import table
 from feedloom.llm.decontamination import find_leaks
 from feedloom.llm.language_id import held_out, predict, train
+from feedloom.llm.language_model import score_texts
 from feedloom.llm.packing import pack
 from feedloom.llm.secrets import KINDS, OWNED, find_secrets
 from feedloom.llm.simhash import hex_of, near_duplicates
+from feedloom.llm.sketches import compared_with_next
 from feedloom.llm.token_file import round_trip
+from feedloom.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +36,14 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out("doc_id", 7, 2)
+    found = score_texts(table(spark, sf_dir, "documents"), F.col("doc_id").isNotNull() & ~out)
+    return found.select(
+        F.col("id").alias("doc_id"), held_out("id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -76,6 +88,23 @@ SQL["op4_decontamination"] = r"""
 """
 
 
+@query
+def op5_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(
+        table(spark, sf_dir, "pages"), allow=["org/", "com/fr/"], block=["example.org/es/", "example.org/en/1", "com/de/"],
+    ).withColumnRenamed("id", "page_id")
+
+
+@query
+def op6_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def written(column: str):
+        return F.lower(F.hex(column))
+
+    return compared_with_next(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", written("sketch").alias("fingerprint"),
+        written("edited_sketch").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer(), end_id=2).withColumnRenamed("id", "doc_id")
@@ -107,3 +136,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs.where(F.col("doc_id").isNotNull() & ~test))
     return predict(docs, model).select(
         F.col("id").alias("doc_id"), held_out("id", 3, 1).alias("held_out"), F.col("label").alias("lang_pred"), "score")
+
+
+@query
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(pages)).withColumnRenamed("id", "page_id")
