@@ -188,7 +188,7 @@ def _score(order: int, shards: int, n: int, v: int, start: int, strength: float,
 
 
 def score_texts(
-    docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", *, order: int = 2, strength: float = 2.0,
+    docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", *, order: int = 2, strength: float = 300.0,
 ) -> DataFrame:
     """(id, train, n_tokens, n_known, train_tokens, base_score, score) of each row of ``docs``; scores are log10.
 
