@@ -1,0 +1,37 @@
+import re
+
+import corpus_pipeline
+from feedloom.llm import queries
+from tests.llm.conftest import docs_of, odd_rows
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = docs
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).cache()
+        assert docs.columns == before.columns
+        kept[name] = {r.doc_id: r for r in docs.collect()}
+    texts = {r.doc_id: r.text for r in before.collect()}
+    found = {r.doc_id: r.component_id for r in queries.QUERIES["op3_simhash"](spark, SF).collect()}
+    assert {i for i, t in texts.items() if any(map(str.isalpha, t or ""))} >= set(kept["language"]) >= set(kept["near duplicates"])
+    assert len({found[i] for i in kept["near duplicates"]}) == len(kept["near duplicates"])
+    assert not any(r.text and re.search(r"AKIA[A-Z0-9]{16}", r.text) for r in kept["secrets"].values())
+    assert set(kept["secrets"]) == set(kept["decontamination"])
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r.doc_id for r in pieces} == set(kept["secrets"])
+
+
+def test_odd_and_empty_documents(spark, odd, none):
+    for start, some in ((odd, True), (none, False)):
+        docs = start
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF)
+        assert bool(docs.count()) == some or some and not docs.count()
+
+
+def test_every_dealt_operator_is_registered():
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES) == list(range(1, 11))

@@ -24,7 +24,7 @@ def hex_of(seed, n=40):
 
 def rows():
     rng = random.Random(2)
-    shared, rare = "Zx9" + hex_of("shared").upper(), "Qk7+" + hex_of("rare").upper()
+    shared, rare = "Zx9" + hex_of("shared").upper(), "Qk7+" + "Z".join(re.findall(".{8}", hex_of("rare"))).upper()
     out = odd_rows()
     for n in range(300, 340):
         parts = [

@@ -1,0 +1,87 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from feedloom.llm import simhash
+from tests.llm.conftest import docs_of, odd_rows
+
+
+def _fingerprint(text):
+    low = "".join(c.lower() if c.isascii() else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def _least(ids, marks, bits):
+    component = list(range(len(marks)))
+
+    def root(n):
+        while component[n] != n:
+            n = component[n]
+        return n
+
+    for a in range(len(marks)):
+        for b in range(a):
+            if (marks[a] ^ marks[b]).bit_count() <= bits:
+                component[root(a)] = root(b)
+    least = {}
+    for n, i in enumerate(ids):
+        if i is not None:
+            least[root(n)] = min(i, least.get(root(n), i))
+    return [least.get(root(n)) for n in range(len(marks))]
+
+
+def _near(rng):
+    rows = []
+    for i in range(100, 130):
+        words = [f"w{rng.randint(0, 500)}" for _ in range(400)]
+        for copy in range(rng.randint(1, 4)):
+            rows.append((i * 10 + copy, " ".join(words), "en", "s"))
+            words[rng.randint(0, 399)] = "changed"
+    return rows
+
+
+def test_components_against_all_pairs(spark):
+    rows = odd_rows() + _near(random.Random(2))
+    marks = [_fingerprint(r[1]) for r in rows]
+    want = sorted(zip(map(str, (r[0] for r in rows)), (f"{m:016x}" for m in marks), map(str, _least([r[0] for r in rows], marks, 4))))
+    got = simhash.near_duplicates(docs_of(spark, rows)).select("id", simhash.hex_of("fingerprint"), "component_id").collect()
+    assert sorted((str(a), b, str(c)) for a, b, c in got) == want
+    kept = simhash.one_of_each(docs_of(spark, rows))
+    heads = {c for _, _, c in want}
+    assert kept.count() == len(heads) and {str(r.doc_id) for r in kept.collect()} == heads
+
+
+@pytest.mark.parametrize("bits", [0, 4, 7])
+def test_links_of_full_lists(spark, bits):
+    rng = np.random.default_rng(4)
+    base = rng.integers(-2 ** 62, 2 ** 62, 20)
+    marks = {int(b) ^ sum(1 << int(x) for x in rng.choice(60, rng.integers(0, 9), replace=False)) for b in base for _ in range(15)}
+    marks = sorted(marks)
+    found = simhash.links(spark.createDataFrame([(m,) for m in marks], "fingerprint long"), bits, part=7).collect()
+    place = {m: n for n, m in enumerate(marks)}
+    for a, b in found:
+        assert ((a ^ b) & (2 ** 64 - 1)).bit_count() <= bits
+    want = _least(list(range(len(marks))), [m & (2 ** 64 - 1) for m in marks], bits)
+    component = list(range(len(marks)))
+
+    def root(n):
+        while component[n] != n:
+            n = component[n]
+        return n
+
+    for a, b in found:
+        x, y = sorted((root(place[a]), root(place[b])))
+        component[y] = x
+    assert [root(n) for n in range(len(marks))] == want
+
+
+def test_empty(none):
+    assert simhash.near_duplicates(none).collect() == [] and simhash.one_of_each(none).collect() == []
