@@ -23,7 +23,7 @@ from feedloom.llm import words
 from feedloom.llm.common import bytes_of, modest, saved, slices
 
 #: Bytes of text in a block.
-BLOCK = 1 << 23
+BLOCK = 1 << 22
 #: n-grams that are summed together, about.
 SHARD = 1 << 20
 

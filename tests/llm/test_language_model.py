@@ -59,7 +59,7 @@ class Automaton:
         return state
 
 
-@pytest.mark.parametrize("order,block,shard", [(1, 1 << 23, 1 << 20), (2, 1 << 23, 1 << 20), (2, 700, 50), (3, 2000, 500), (4, 500, 100)])
+@pytest.mark.parametrize("order,block,shard", [(1, 1 << 22, 1 << 20), (2, 1 << 22, 1 << 20), (2, 700, 50), (3, 2000, 500), (4, 500, 100)])
 def test_equals_a_walk_of_the_whole_automaton(odd, order, block, shard, monkeypatch):
     monkeypatch.setattr(language_model, "BLOCK", block)
     monkeypatch.setattr(language_model, "SHARD", shard)
