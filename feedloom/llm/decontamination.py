@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from feedloom.llm import words
-from feedloom.llm.common import bytes_of, slices
+from feedloom.llm.common import bytes_of, modest, slices
 from feedloom.llm.fm_index import FMIndex
 
 #: Text of one shard, about; its index is built, searched and dropped.
-SHARD_BYTES = 1 << 24
+SHARD_BYTES = 1 << 22
 #: A benchmark with more text is refused; it is sent to every task.
 BENCHMARK_BYTES = 1 << 26
 
@@ -148,7 +148,7 @@ def find_leaks(
     ``spans`` the merged stretches of hit words in code points, end exclusive. Repeated rows give repeated rows.
     """
     wanted = docs.sparkSession.sparkContext.broadcast(phrases(benchmark, window))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = modest(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in _shards(batches, 1):
@@ -217,4 +217,4 @@ def without_leaks(
                     lengths, batch.schema.field(lengths), pa.array(values, batch.schema.field(lengths).type))
             yield batch.filter(pa.array([n not in gone for n in range(batch.num_rows)]))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return modest(docs).mapInArrow(clean, docs.schema)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedloom.llm.common import slices, strings
+from feedloom.llm.common import modest, slices, strings
 
 #: n-grams of 1 to 3 characters, hashed to this many features.
 FEATURES = 1 << 14
@@ -165,7 +165,7 @@ def train(rows: DataFrame, label_col: str = "lang", text_col: str = "text", *, s
     Document frequencies come from all of them, weights from about ``sample`` rows of each label, chosen by the
     hash of their text; a fifth of these sets the temperature. No rows: a model that knows no label.
     """
-    known = rows.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")).dropna()
+    known = modest(rows).select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")).dropna()
     counts = {r.label: r["count"] for r in known.groupBy("label").count().limit(LANGUAGES + 1).collect()}
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} labels")
@@ -179,8 +179,9 @@ def train(rows: DataFrame, label_col: str = "lang", text_col: str = "text", *, s
     idf = np.log((1 + documents[-1]) / (1 + documents[:-1])) + 0.1
     salted = known.withColumn("salt", F.xxhash64("text", F.lit("language sample")))
     share = F.create_map(*[F.lit(x) for label in labels for x in (label, min(1.0, sample / counts[label]))])[F.col("label")]
+    # Copies of a text have one salt; a large group of them counts as one row of the sample.
     chosen = salted.where(F.pmod("salt", F.lit(1 << 40)) < share * (1 << 40)) \
-        .select("label", "salt", "text").mapInArrow(_featurise, "label string, salt long, features binary, shares binary")
+        .groupBy("label", "salt").agg(F.first("text").alias("text")).mapInArrow(_featurise, "label string, salt long, features binary, shares binary")
     examples = []
     for row in chosen.collect():
         features = np.frombuffer(row.features, "<u2").astype(np.int64)
@@ -206,7 +207,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     ``und`` with score 0 if the text is null, has no letter, or the model knows no label.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = modest(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +229,7 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text", *, min_sco
                 label, score = sent.value.predict(strings(part.column(column)))
                 yield part.filter(pa.array([la != UNKNOWN and s >= min_score for la, s in zip(label, score)]))
 
-    return docs.mapInArrow(read, docs.schema)
+    return modest(docs).mapInArrow(read, docs.schema)
 
 
 def held_out(id_col: str, parts: int, part: int) -> Column:

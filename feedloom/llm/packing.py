@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feedloom.llm.common import slices, strings
+from feedloom.llm.common import modest, slices, strings
 from feedloom.llm.tokens import encoder
 
 #: Documents packed together, about; each such group is one task's work at a time.
@@ -112,7 +112,7 @@ def pack(
     one sequence a group. A document's ids lie in exactly one piece each. Repeated rows are packed each;
     null ids stay null. No other column is read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("salt"), F.col(text_col).alias("text"))
+    rows = modest(docs).select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("salt"), F.col(text_col).alias("text"))
     groups = max(1, -(-docs.count() // group))
     kind = rows.schema["id"].dataType.simpleString()
     pieces = rows.mapInArrow(

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from feedloom.llm.common import saved, slices, strings
+from feedloom.llm.common import modest, saved, slices, strings
 
 #: In the order of the listing of spans that begin together.
 KINDS = ("assign", "access", "hex", "owned")
@@ -106,7 +106,7 @@ def find_secrets(
     owners hold from copies of an example, and a candidate without a base pattern is a finding only if it is owned.
     Values are compared without case. Null owners are one owner, null text has no spans, repeated rows count once.
     """
-    found = _scanned(docs.select(
+    found = _scanned(modest(docs).select(
         F.struct(F.col(id_col).alias("id")).alias("row"), _name(owner_col).alias("owner"),
         _name(repository_col).alias("repository"), F.col(text_col).alias("text")))
     single = found.select("number", "owner", "repository", F.explode("spans").alias("span")).select(
@@ -139,7 +139,7 @@ def without_secrets(
     ``length_col``, if named, is set to the new text's code points where text was replaced. All other columns and
     all rows without findings stay as they are. Texts are shuffled only where a candidate has to be judged.
     """
-    found = _scanned(docs.select(
+    found = _scanned(modest(docs).select(
         F.struct("*").alias("row"), _name(owner_col).alias("owner"), _name(repository_col).alias("repository"),
         F.col(text_col).alias("text")))
     single = found.select("number", "owner", "repository", F.explode("spans").alias("span")).select(

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from feedloom.llm.common import saved, slices, utf8
+from feedloom.llm.common import modest, saved, slices, utf8
 from feedloom.llm.components import stars
 
 #: A list with more fingerprints is cut into parts of this size, compared pair by pair in tasks of their own.
@@ -47,7 +47,7 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4) -> DataFrame:
     """(id, text_key, fingerprint) of each row; text_key tells texts apart that share an id."""
-    rows = docs.select(
+    rows = modest(docs).select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"),
     )
 

@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from feedloom.llm.common import saved, scratch, slices, strings
+from feedloom.llm.common import modest, saved, scratch, slices, strings
 from feedloom.llm.tokens import encoder
 
 MAGIC = b"FLT1"
@@ -135,7 +135,7 @@ def write_tokens(
     to the file.
     """
     fs.FileSystem.from_uri(folder)[0].create_dir(fs.FileSystem.from_uri(folder)[1], recursive=True)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = modest(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return saved(
         rows.repartitionByRange("id").sortWithinPartitions("id", "text")
         .mapInArrow(_writer(tokenizer, folder, end_id, file_ids), "file string, docs long, ids long"),
