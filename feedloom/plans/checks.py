@@ -27,7 +27,7 @@ from feedloom.sinks.csv import export_csv, read_csv_export
 from feedloom.sinks.keyed import KeyedTable
 from feedloom.sources.pages import land_raw
 from feedloom.sources.topics import as_messages, publish, read_topic
-from feedloom.streaming import runs
+from feedloom.live import runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 

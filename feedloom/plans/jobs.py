@@ -23,7 +23,7 @@ from feedloom.sinks.batches import append_sink
 from feedloom.sinks.csv import export_csv
 from feedloom.sinks.keyed import KeyedTable, create_namespace, create_table
 from feedloom.sources.topics import publish, read_topic
-from feedloom.streaming import runs
+from feedloom.live import runs
 
 # Arrival order of messages; it decides which of two writes of a key is the later one.
 ARRIVAL = ["timestamp", "partition", "offset"]

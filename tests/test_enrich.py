@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from feedloom.operators.articles import listed_articles
 from feedloom.operators.enrich import enrich
@@ -35,7 +36,7 @@ def test_hot_links_and_copies(spark):
     details += [("hot", rng.randrange(100), f"a{rng.randrange(9)}") for _ in range(300)]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = enrich(*frames(spark, listing, details), newest_by=["told_on"]).collect()
+        rows = enrich(*frames(spark, listing, details), newest_by=["told_on"], hot_rows=10).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     got = sorted((r.page_id, r.pos, r.link, r.author, r.found) for r in rows)
@@ -45,12 +46,44 @@ def test_hot_links_and_copies(spark):
 def test_hot_link_is_spread(spark):
     listing, details = frames(
         spark, [(i, 0, "hot") for i in range(200)], [("hot", 1, "a"), ("cold", 1, "b")])
-    salted = enrich(listing, details)
+    salted = enrich(listing, details, hot_rows=10)
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and "_page_salt" in plan
     assert salted.count() == 200
 
 
+def _rows_by_task(joined):
+    return {r.task: r["count"] for r in joined.groupBy(F.spark_partition_id().alias("task")).count().collect()}
+
+
+@pytest.fixture
+def shuffled(spark):
+    off = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    for name, value in zip(off, ("false", "-1")):
+        spark.conf.set(name, value)
+    yield
+    for name in off:
+        spark.conf.unset(name)
+
+
+def test_rows_without_link_are_spread(spark, shuffled):
+    listing = spark.range(40_000).selectExpr("id AS page_id", "0 AS pos", "IF(id % 2 = 0, NULL, concat('u', id)) AS link")
+    details = spark.range(40_000).selectExpr("concat('u', id) AS url", "id AS told_on", "'a' AS author")
+    joined = enrich(listing, details)
+    tasks = _rows_by_task(joined)
+    assert sum(tasks.values()) == 40_000
+    assert max(tasks.values()) <= 2 * 40_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert joined.filter("found").count() == 20_000
+
+
+def test_few_rows_make_no_link_hot(spark, shuffled):
+    listing, details = frames(
+        spark, [(i, 0, f"u{i}") for i in range(200)] + [(500 + i, 0, "many") for i in range(200)], [("many", 1, "a")])
+    # A page would be repeated for each salt and found by tasks that it does not belong to.
+    tasks = _rows_by_task(enrich(listing, details).filter("link = 'many'"))
+    assert list(tasks.values()) == [200]
+
+
 def test_missing_page(spark):
     listing, details = frames(spark, [(1, 0, "here"), (1, 1, "gone"), (1, 2, None)], [("here", 1, "a")])
     rows = enrich(listing, details).orderBy("pos").collect()

@@ -14,7 +14,7 @@ from feedloom.schemas import ENVELOPE, strings
 from feedloom.sinks.batches import append_sink, read_batches
 from feedloom.sinks.keyed import KeyedTable
 from feedloom.sources.topics import publish, read_topic
-from feedloom.streaming import runs
+from feedloom.live import runs
 
 SCHEMA = strings(["k", "v"])
 
