@@ -30,7 +30,7 @@ from feedloom.llm.tokens import encoder
 MAGIC = b"FLT1"
 _HEAD = struct.Struct("<4sIQI")
 #: Ids in a file, about; more go to the stretch's next file.
-FILE_IDS = 1 << 22
+FILE_IDS = 1 << 20
 
 #: For each control byte the lengths of its four values.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
