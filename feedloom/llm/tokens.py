@@ -9,6 +9,7 @@ whole.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -27,10 +28,14 @@ _WORD = re.compile(rf" [{_LETTERS}]+")
 class Encoder:
     """``encode``: texts to little-endian unsigned 32-bit ids, without special tokens."""
 
-    #: Pieces kept at once; beyond it the worker starts anew.
+    #: Pieces kept at once, about; beyond it the worker starts anew.
     KEPT = 400_000
+    #: Characters looked at together.
+    _CHUNK = 1 << 19
 
     def __init__(self, path: str):
+        # A task has one core, and each thread of the library would keep memory of its own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
@@ -38,16 +43,36 @@ class Encoder:
         self._ids: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [_PLAIN.fullmatch(text) is not None for text in texts]
-        pieces = [_PIECE.findall(text) if ok else None for text, ok in zip(texts, plain)]
-        new = set().union(*(p for p in pieces if p)).difference(self._ids)
-        if len(self._ids) + len(new) > self.KEPT:
+        out, at = [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size < self._CHUNK:
+                size += len(texts[end])
+                end += 1
+            out += self._encode(texts[at:end])
+            at = end
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if len(self._ids) > self.KEPT:
             self._ids.clear()
-            new = set().union(*(p for p in pieces if p))
-        self._learn(list(new))
-        of = self._ids.__getitem__
-        others = iter(self._whole([text for text, ok in zip(texts, plain) if not ok]))
-        return [b"".join(map(of, p)) if p is not None else next(others) for p in pieces]
+        known, out, waiting = self._ids.get, [], []
+        for text in texts:
+            if not text.isascii() and not _PLAIN.fullmatch(text):
+                out += self._whole([text])
+                continue
+            pieces = _PIECE.findall(text)
+            found = list(map(known, pieces))
+            gaps = [(n, pieces[n]) for n, ids in enumerate(found) if ids is None]
+            if gaps:
+                waiting.append((len(out), found, gaps))
+            out.append(b"" if gaps else b"".join(found))
+        self._learn(list({piece for _, _, gaps in waiting for _, piece in gaps}))
+        for place, found, gaps in waiting:
+            for n, piece in gaps:
+                found[n] = self._ids[piece]
+            out[place] = b"".join(found)
+        return out
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
