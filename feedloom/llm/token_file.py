@@ -34,6 +34,8 @@ FILE_IDS = 1 << 20
 
 #: For each control byte the lengths of its four values.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
+#: For each code which of a rank's four bytes are written.
+_WRITTEN = np.arange(4) <= np.arange(4)[:, None]
 
 
 def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -50,7 +52,7 @@ def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> b
     fours = np.zeros((-(-len(code) // 4), 4), np.uint8)
     fours.reshape(-1)[:len(code)] = code
     control = (fours << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
+    data = ranks.view(np.uint8).reshape(-1, 4)[_WRITTEN[code]]
     none = np.array([x is None for x in doc_ids], np.uint8)
     return b"".join([
         _HEAD.pack(MAGIC, len(doc_ids), len(ids), len(table)), table.tobytes(),
@@ -81,8 +83,9 @@ def decode(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     if total and ends[-1] != len(data) or int(lengths.sum()) != total:
         raise ValueError("token file is cut short")
     found = data[starts].astype(np.uint32) if total else np.zeros(0, np.uint32)
+    wide = np.arange(total)
     for place in range(1, 4):
-        wide = sizes > place
+        wide = wide[sizes[wide] > place]
         found[wide] |= data[starts[wide] + place].astype(np.uint32) << np.uint32(8 * place)
     return [None if n else d for d, n in zip(doc_ids.tolist(), none)], lengths, table[found]
 
