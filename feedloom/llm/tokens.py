@@ -28,19 +28,17 @@ _WORD = re.compile(rf" [{_LETTERS}]+")
 class Encoder:
     """``encode``: texts to little-endian unsigned 32-bit ids, without special tokens."""
 
-    #: Pieces kept at once, about; beyond it the worker starts anew.
-    KEPT = 400_000
     #: Characters looked at together.
     _CHUNK = 1 << 19
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int):
         # A task has one core, and each thread of the library would keep memory of its own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
-        self._ids: dict[str, bytes] = {}
+        self._kept, self._ids = kept, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, at = [], 0
@@ -54,7 +52,7 @@ class Encoder:
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._ids) > self.KEPT:
+        if len(self._ids) > self._kept:
             self._ids.clear()
         known, out, waiting = self._ids.get, [], []
         for text in texts:
@@ -93,11 +91,14 @@ class Encoder:
         self._ids.update(zip(rest, self._whole(rest)))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, kept: int = 1_000_000) -> Encoder:
+    """The worker's encoder, which goes from task to task with the ids of about ``kept`` pieces at most.
+
+    Beyond that it starts anew. A piece with its ids takes some 200 bytes.
+    """
+    if (path, kept) not in _ENCODERS:
+        _ENCODERS[path, kept] = Encoder(path, kept)
+    return _ENCODERS[path, kept]
