@@ -276,6 +276,19 @@ def read_items(
     return with_once(staged, "items", items).select(*df.columns, "items")
 
 
-def start_tags(col: Column, tag: str) -> Column:
-    """All start tags of a name in plainly written markup, in document order."""
-    return F.regexp_extract_all(col, F.lit(_start_tag(tag, None)), F.lit(0))
+def read_all(df: DataFrame, html: str, tag: str, attr: str) -> DataFrame:
+    """Add ``values``: the attribute of every ``tag`` that has it, in document order; NULL for a NULL page."""
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def parsed(pages: pd.Series) -> pd.Series:
+        return pd.Series([
+            None if page is None else page_parser.attributes(page, tag, attr) for page in pages
+        ], dtype=object)
+
+    found = F.regexp_extract_all("_body", F.lit(_start_tag(tag, None)), F.lit(0))
+    staged = df.withColumn("_body", _body(html)).withColumn("_found", found)
+    sure = F.coalesce(~F.exists("_found", lambda source: source.rlike(_ODD_ENTITY)), F.lit(False))
+    staged = staged.withColumn("_sure", sure)
+    staged = staged.withColumn("_parsed", parsed(F.when(~F.col("_sure"), F.col(html))))
+    values = F.filter(F.transform("_found", lambda source: _attribute(source, attr)), lambda v: v.isNotNull())
+    values = F.when(F.col("_sure"), values).otherwise(F.col("_parsed"))
+    return with_once(staged, "values", values).select(*df.columns, "values")

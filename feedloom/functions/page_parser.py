@@ -156,6 +156,12 @@ def item_sources(html, container, item):
     return [(f"<{e.hidden_by}>" if e.hidden_by else "") + html[e.start:e.end] for e in found]
 
 
+def attributes(html, name, attr):
+    """The attribute of every element of a name that has it."""
+    page = outline(html)
+    return [e.attrs[attr] for e in page.elements if e.name == name and attr in e.attrs] if page else []
+
+
 def read_fields(html, fields):
     """One value per field, None for a missing element; see ``markup.Text`` and ``Attr``."""
     page = outline(html)

@@ -26,13 +26,31 @@ ADDRESS_PATHS = [
 
 
 def _shown(name: str) -> Column:
-    """A scalar as Python's ``str`` shows it: null is ``None``, booleans are capitalised."""
-    leaf, text = F.col(f"leaf.{name}"), F.col(f"text.{name}")
+    """A scalar as Python's ``str`` shows it: null is ``None``, booleans are capitalised,
+    numbers are taken as they were written. Objects and arrays stay JSON."""
+    leaf, text, written = F.col(f"leaf.{name}"), F.col(f"text.{name}"), F.col(f"written.{name}")
     return F.when(text.isNull() & leaf.isNotNull(), "None").when(
         text.isin("true", "false") & (F.schema_of_variant(leaf) == "BOOLEAN"), F.initcap(text)
+    ).when(written.rlike(r"^-?\d+$"), F.regexp_replace(written, "^-0$", "0")).when(
+        written.isNotNull(), _float_shown(written.cast("double"))
     ).otherwise(text)
 
 
+def _float_shown(value: Column) -> Column:
+    """A double as Python's ``str`` shows it: plain from 1e-4 up to 1e16, else with a signed exponent."""
+    java = value.cast("string")
+    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
+    power = F.substring_index(java, "E", -1).cast("int")
+    exponent = F.concat(
+        mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"),
+        F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), "0"))
+    # 16 digits before the point, 21 after it: all that a double in this range can show.
+    plain = F.regexp_replace(java.cast("decimal(38,21)").cast("string"), r"0+$", "")
+    plain = F.regexp_replace(plain, r"\.$", ".0")
+    return F.when(java == "Infinity", "inf").when(java == "-Infinity", "-inf").when(~java.contains("E"), java).when(
+        (F.abs(value) >= 1e-4) & (F.abs(value) < 1e16), plain).otherwise(exponent)
+
+
 def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool = False) -> DataFrame:
     """Flatten the first result of each payload to 11 columns.
 
@@ -64,6 +82,17 @@ def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool =
     docs = docs.withColumn("text", F.struct(*[
         F.try_variant_get(F.col(f"leaf.{name}"), "$", "string").alias(name) for name in paths
     ]))
+    # A VARIANT forgets how a number with a fraction was written. Few payloads have one in their
+    # address, and only those are read again.
+    odd = {f"address_{i}": F.coalesce(F.schema_of_variant(F.col(f"leaf.address_{i}")).rlike(
+        "^(DECIMAL|DOUBLE|FLOAT)"), F.lit(False)) for i in range(len(ADDRESS_PATHS))}
+    again = F.from_json(raw, "results array<struct<location struct<street struct<number string, name string>, "
+                             "city string, state string, country string>>>")
+    docs = docs.withColumn("again", F.when(F.greatest(*odd.values()), again)).withColumn("first", F.col("again.results")[0])
+    docs = docs.withColumn("written", F.struct(*[
+        F.when(odd[f"address_{i}"], F.col(f"first.{path}")).alias(f"address_{i}")
+        for i, path in enumerate(ADDRESS_PATHS)
+    ]))
 
     number, street, city, state, country = [
         _shown(f"address_{i}") for i in range(len(ADDRESS_PATHS))

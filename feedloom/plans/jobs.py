@@ -3,6 +3,7 @@ numbers, export news."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -16,12 +17,11 @@ from feedloom.operators.flatten import complete, flatten_users
 from feedloom.operators.stats import numeric_stats, scaled
 from feedloom.operators.validity import is_uuid, split_valid
 from feedloom.schemas import (
-    ARTICLE_FIELDS, CREATED_USER, CREATED_USER_FIELDS, ENVELOPE, USER_DATABASE, USER_FIELDS,
-    USER_TABLE, USER_TOPIC,
+    ARTICLE_FIELDS, CREATED_USER, ENVELOPE, USER_DATABASE, USER_FIELDS, USER_TABLE, USER_TOPIC,
 )
-from feedloom.sinks.batches import append_sink
+from feedloom.sinks.batches import append_sink, batch_folder
 from feedloom.sinks.csv import export_csv
-from feedloom.sinks.keyed import KeyedTable, create_namespace, create_table
+from feedloom.sinks.keyed import KeyedTable, create_namespace, replace_table
 from feedloom.sources.topics import publish, read_topic
 from feedloom.live import runs
 
@@ -41,17 +41,28 @@ class Topic:
         return read_topic(spark, self.name, path=self.path, options=self.options)
 
 
-def publish_users(payloads: DataFrame, topic: Topic = Topic(), rejected: str | None = None) -> None:
+def publish_users(
+    payloads: DataFrame, topic: Topic = Topic(), rejected: str | None = None, *, batch_id: int = 0,
+    run: str | None = None,
+) -> None:
     """API responses (column ``raw``) to flat user messages.
 
     A response that lacks a field is not published; with ``rejected`` it is
-    appended there with the paths it lacks.
+    kept there with the paths it lacks. A ``run`` and a ``batch_id`` name the
+    batch: published again, it replaces itself there and in a topic of files.
     """
+    run = run or uuid.uuid4().hex
     flat = flatten_users(payloads.select("raw"), typed_postcode=True)
-    good, bad = split_valid(flat, {"missing path": complete()})
-    publish(good.select(*USER_FIELDS), topic.name, path=topic.path, options=topic.options)
     if rejected:
-        bad.select("raw", "missing").write.mode("append").parquet(rejected)
+        flat = flat.persist()
+    try:
+        good, bad = split_valid(flat, {"missing path": complete()})
+        publish(good.select(*USER_FIELDS), topic.name, path=topic.path, options=topic.options,
+                batch_id=batch_id, run=run)
+        if rejected:
+            bad.select("raw", "missing").write.mode("overwrite").parquet(batch_folder(rejected, batch_id, run))
+    finally:
+        flat.unpersist()
 
 
 def created_users(path: str, buckets: int = 64) -> KeyedTable:
@@ -88,12 +99,29 @@ def users_to_table(
     )
 
 
-def save_created_users(spark: SparkSession, path: str, location: str) -> None:
-    """The keyed table as it stands, as the catalog table users query, below ``location``."""
-    create_namespace(spark, USER_DATABASE, location)
-    create_table(spark, f"{USER_DATABASE}.{USER_TABLE}", CREATED_USER, f"{location}/{USER_TABLE}")
-    created_users(path).read(spark).select(*CREATED_USER_FIELDS).write.mode(
-        "overwrite").insertInto(f"{USER_DATABASE}.{USER_TABLE}")
+def compact_users(spark: SparkSession, path: str, buckets: int = 64, retire: bool = True) -> None:
+    """Fold the changes of the keyed table into a snapshot of ``buckets``.
+
+    With ``retire`` the folders that the snapshot before this one made needless
+    go; run it at intervals longer than any reader takes.
+    """
+    table = created_users(path, buckets)
+    table.compact(spark)
+    if retire:
+        table.retire(spark)
+
+
+def save_created_users(
+    spark: SparkSession, path: str, location: str, *, database: str = USER_DATABASE, table: str = USER_TABLE,
+    buckets: int = 64,
+) -> None:
+    """The keyed table as it stands, as the catalog table users query, below ``location``.
+
+    A table of that name that lies elsewhere is refused.
+    """
+    create_namespace(spark, database, location)
+    replace_table(
+        created_users(path, buckets).read(spark), f"{database}.{table}", CREATED_USER, f"{location}/{table}")
 
 
 def users_to_documents(
@@ -136,16 +164,22 @@ def news_rows(
     spark = listing_pages.sparkSession
     listed_articles(listing_pages, layout, strict=strict).write.mode("overwrite").parquet(
         f"{work}/listed")
-    told_articles(article_pages, layout, keep=("page_id", "url")).withColumnsRenamed(
+    listed = spark.read.parquet(f"{work}/listed")
+    told_articles(linked_pages(article_pages, listed), layout, keep=("page_id", "url")).withColumnsRenamed(
         {"page_id": "told_on", "missing": "missing_told"}
     ).write.mode("overwrite").parquet(f"{work}/told")
-    rows = enrich(
-        spark.read.parquet(f"{work}/listed"), spark.read.parquet(f"{work}/told"),
-        newest_by=["told_on"], strict=strict,
-    )
+    rows = enrich(listed, spark.read.parquet(f"{work}/told"), newest_by=["told_on"], strict=strict)
     return checked(rows, "missing_told") if strict else rows
 
 
+def linked_pages(pages: DataFrame, listed: DataFrame) -> DataFrame:
+    """The pages that a listed row links to, of each only the newest copy; no HTML is read for that."""
+    newest = pages.groupBy(F.col("url").alias("_url")).agg(F.max("page_id").alias("_newest"))
+    wanted = newest.join(listed.select(F.col("link").alias("_url")).distinct(), "_url", "left_semi")
+    return pages.join(
+        wanted, (F.col("url") == F.col("_url")) & F.col("page_id").eqNullSafe(F.col("_newest")), "left_semi")
+
+
 def export_news(
     listing_pages: DataFrame, article_pages: DataFrame, work: str, csv: str, **options
 ) -> None:

@@ -20,6 +20,8 @@ from feedloom.operators.validity import split_valid
 from feedloom.sinks.batches import batch_folder, read_batches
 
 _COMMIT = "version string, made timestamp, buckets int, run string, upto long"
+# Table property: the location a table was created for.
+_HOME = "feedloom.location"
 
 
 def create_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -31,12 +33,40 @@ def create_namespace(spark: SparkSession, database: str, location: str | None =
 def create_table(
     spark: SparkSession, table: str, schema: T.StructType, location: str | None = None
 ) -> None:
-    """A Parquet table, if there is none of that name."""
+    """A Parquet table, if there is none of that name.
+
+    One that was created for another ``location`` is refused with a ValueError.
+    """
+    home = _home(spark, table)
+    if location and home not in (None, location):
+        raise ValueError(f"table {table} was created for {home or 'the warehouse'}, not for {location}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION '{location}' TBLPROPERTIES ('{_HOME}' = '{location}')" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{where}")
 
 
+def _home(spark: SparkSession, table: str) -> str | None:
+    """The location a table was created for, empty if none was named; None without such a table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return properties.get(_HOME, "")
+
+
+def replace_table(rows: DataFrame, table: str, schema: T.StructType, location: str) -> None:
+    """``rows`` as the content of a catalog table, created below ``location`` if there is none.
+
+    They are written to a folder of their own and the table is then pointed at it, so readers see
+    the old content or the new one, and the old folder stays for those that still read it.
+    """
+    spark = rows.sparkSession
+    create_table(spark, table, schema, location)
+    folder = f"{location}/version-{uuid.uuid4().hex}"
+    rows.select(*schema.fieldNames()).write.parquet(folder)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+
+
 @dataclass
 class KeyedTable:
     """A keyed target in a folder of its own.
@@ -131,12 +161,42 @@ class KeyedTable:
         ).withColumn("made", F.current_timestamp())
         commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
-    def _last_commit(self, spark: SparkSession) -> list:
+    def retire(self, spark: SparkSession) -> None:
+        """Remove the changes that the snapshot before the last has folded in, and older snapshots.
+
+        Both snapshots that stay hold them, so a reader that began before the last ``compact``
+        still finds all it needs. One folder a batch is removed, of those only that are there.
+        """
+        commits = self._commits(spark)
+        if commits is None:
+            return
+        made = commits.groupBy("version").agg(F.max("made").alias("made")).orderBy(F.desc("made")).collect()
+        if len(made) < 2:
+            return
+        folded = {row.run: row.upto for row in commits.filter(F.col("version") == made[1].version).collect()}
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        system = hadoop(self.path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        for run, upto in folded.items():
+            runs = hadoop(f"{self.path}/changes/run={run}")
+            for folder in system.listStatus(runs) if system.exists(runs) else []:
+                name = folder.getPath().getName()
+                if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= upto:
+                    system.delete(folder.getPath(), True)
+        for old in made[2:]:
+            spark.sql(f"DROP TABLE IF EXISTS feedloom_{old.version}")
+            system.delete(hadoop(f"{self.path}/snapshots/{old.version}"), True)
+
+    def _commits(self, spark: SparkSession) -> DataFrame | None:
         try:
-            commits = spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
+            return spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return None
+
+    def _last_commit(self, spark: SparkSession) -> list:
+        commits = self._commits(spark)
+        if commits is None:
             return []
         last = commits.agg(F.max_by("version", "made")).first()[0]
         return commits.filter(F.col("version") == last).collect()

@@ -6,11 +6,13 @@ the columns a Kafka source delivers. Both can be read as a table or as a stream.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from feedloom.schemas import ENVELOPE
+from feedloom.sinks.batches import batch_folder
 
 
 def read_topic(
@@ -35,8 +37,9 @@ def read_topic(
         )
     # A stream heeds basePath, which makes "topic" a column, only where the path is a glob.
     names = "{" + ",".join(topics) + "}"
+    folders = T.StructType([*ENVELOPE, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
     return (
-        reader.schema(ENVELOPE).options(**(options or {})).option("basePath", path)
+        reader.schema(folders).options(**(options or {})).option("basePath", path)
         .parquet(f"{path}/topic={names}")
         .select(*ENVELOPE.fieldNames())
     )
@@ -58,18 +61,26 @@ def publish(
     *,
     path: str | None = None,
     options: Mapping[str, str] | None = None,
+    batch_id: int = 0,
+    run: str | None = None,
 ) -> None:
     """Append the records to a topic; returns when all are written.
 
     For a stream of records call it from ``foreachBatch``. ``options`` go to the
-    writer, e.g. ``kafka.bootstrap.servers`` or ``maxRecordsPerFile``.
+    writer, e.g. ``kafka.bootstrap.servers`` or ``maxRecordsPerFile``. In files, a batch
+    that is published again under its ``run`` and ``batch_id`` replaces itself; a stream
+    that has read it already sees its messages again, as it would from a broker.
     """
     messages = as_messages(records, topic)
     if path is None:
         messages.write.format("kafka").options(**(options or {})).save()
     else:
-        # The broker's part: the arrival time. Files have no partitions and offsets.
+        # The broker's part: the arrival time, and the place in the order of writing.
+        place = F.monotonically_increasing_id()
         (
-            messages.withColumn("timestamp", F.current_timestamp())
-            .write.mode("append").partitionBy("topic").options(**(options or {})).parquet(path)
+            messages.select(
+                "key", "value", F.shiftright(place, 33).cast("int").alias("partition"),
+                place.bitwiseAND((1 << 33) - 1).alias("offset"), F.current_timestamp().alias("timestamp"))
+            .write.mode("overwrite").options(**(options or {}))
+            .parquet(batch_folder(f"{path}/topic={topic}", batch_id, run or uuid.uuid4().hex))
         )

@@ -127,6 +127,12 @@ def test_news(site, work, strict):
     assert all(r.found and r.missing == [] and r.missing_told == [] for r in rows)
 
 
+def test_only_linked_pages_are_read(spark, site):
+    listing, stories = site
+    pages = jobs.linked_pages(stories, listed_articles(listing))
+    assert sorted(r.page_id for r in pages.collect()) == [2, 3]
+
+
 def test_news_csv(spark, site, work):
     from feedloom.schemas import ARTICLE
     from feedloom.sinks.csv import read_csv_export

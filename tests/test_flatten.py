@@ -61,6 +61,15 @@ def test_odd_values(spark, raw, field, value):
     assert row.missing == [] and row[field] == value
 
 
+@pytest.mark.parametrize("number", [
+    "12.0", "0.5", "-0.0", "1e22", "1E5", "1.5e-7", "123456789.25", "1e15", "1e16", "0.0001", "0.00012345", "1e-5",
+    "12345678901234567890123456789012345678901234", "7", "-0", "9223372036854775808", "100.10", "3.0e300",
+])
+def test_numbers_as_python_shows_them(spark, number):
+    row = flat(spark, [payload(street={"number": 0, "name": "S"}).replace('"number": 0', f'"number": {number}')]).first()
+    assert row.missing == [] and row.address == f"{json.loads(number)} S, C T K"
+
+
 @pytest.mark.parametrize("raw", [
     payload().replace('"', "'"), '{"results":[]}', '{"error":"x"}', "<html>", "", None, "[]", '{"results":{"0":{}}}',
     payload() + " trailing", payload() + "," + payload(), payload(street=None), payload(street="S"),

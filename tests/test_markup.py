@@ -160,6 +160,17 @@ def test_readers_agree(spark):
                 page_parser.read_fields(x, spec) for x in expected], page
 
 
+def test_all_attributes(spark):
+    """Through both readers; comments, scripts and elements without the attribute do not count."""
+    plain = '<a href="/1">x</a><!-- <a href="no"> --><script>"<a href=no>"</script><a name=x><A HREF=/2?a&amp;b>'
+    rng = random.Random(8)
+    pages = [plain, plain + "<noscript></noscript>", "", None, *[random_page(rng) for _ in range(1000)]]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    got = [r["values"] for r in markup.read_all(df, "html", "a", "href").orderBy("i").collect()]
+    assert got[:4] == [["/1", "/2?a&b"], ["/1", "/2?a&b"], [], None]
+    assert got[4:] == [page_parser.attributes(page, "a", "href") for page in pages[4:]]
+
+
 def test_plain_pages_stay_out_of_python(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     assert pages.filter(~markup._plain(F.col("html"))).count() == 0

@@ -235,8 +235,56 @@ def test_snapshot_is_not_shuffled(spark, work):
     assert rows(table.read(spark)) == [("a", 1, "x"), ("b", 1, "x")]
 
 
+def test_retired_folders_do_not_pile_up(spark, work):
+    table = keyed(spark, work)
+    seen = []
+    for batch_id in range(6):
+        table.sink(spark.createDataFrame([(f"k{batch_id}", batch_id, "x")], KEYED), batch_id, "run")
+        table.compact(spark)
+        table.retire(spark)
+        seen.append(len(glob(f"{work}/keyed/changes/*/*")))
+        assert len(glob(f"{work}/keyed/snapshots/*")) <= 2
+    assert max(seen) <= 3
+    assert rows(table.read(spark)) == [(f"k{i}", i, "x") for i in range(6)]
+
+
 # --- jobs -----------------------------------------------------------------
 
+def test_order_of_writing_in_a_topic_of_files(spark, work):
+    """Of two messages of a key in one publish the later wins, though its text is less."""
+    records = spark.range(2000).repartition(4).sortWithinPartitions("id").selectExpr("concat('n', id) AS v", "id")
+    publish(records, "t", path=f"{work}/topics")
+    messages = read_topic(spark, "t", path=f"{work}/topics", stream=False)
+    told = messages.selectExpr("partition", "offset", "get_json_object(string(value), '$.id') AS id").orderBy(
+        "partition", "offset").collect()
+    assert [int(r.id) for r in told] == [r.id for r in records.collect()]
+
+
+def test_batch_published_twice_is_there_once(spark, work):
+    records = spark.createDataFrame([("a", "1")], SCHEMA)
+    for _ in range(2):
+        publish(records, "t", path=f"{work}/topics", batch_id=3, run="r")
+    publish(records, "t", path=f"{work}/topics")
+    assert read_topic(spark, "t", path=f"{work}/topics", stream=False).count() == 2
+
+
+def test_catalog_table_keeps_its_place(spark, work):
+    from feedloom.sinks.keyed import create_namespace, create_table, replace_table
+
+    database = f"places_{abs(hash(work))}"
+    create_namespace(spark, database, f"{work}/db")
+    for name in ("one", "two"):
+        replace_table(spark.createDataFrame([(name, "1")], SCHEMA), f"{database}.{name}", SCHEMA, f"{work}/{name}")
+    before = spark.table(f"{database}.one")
+    with pytest.raises(ValueError, match="was created for"):
+        create_table(spark, f"{database}.one", SCHEMA, f"{work}/elsewhere")
+    replace_table(spark.createDataFrame([("new", None)], SCHEMA), f"{database}.one", SCHEMA, f"{work}/one")
+    assert [r.k for r in before.collect()] == ["one"]  # a reader of the old content
+    assert [r.k for r in spark.table(f"{database}.one").collect()] == ["new"]
+    assert [r.k for r in spark.table(f"{database}.two").collect()] == ["two"]
+
+
+
 def test_user_jobs(spark, work):
     from test_flatten import payload
 
