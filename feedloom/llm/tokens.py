@@ -28,17 +28,20 @@ _WORD = re.compile(rf" [{_LETTERS}]+")
 class Encoder:
     """``encode``: texts to little-endian unsigned 32-bit ids, without special tokens."""
 
+    #: Pieces kept at once, about; beyond it the worker starts anew.
+    KEPT = 1_000_000
     #: Characters looked at together.
     _CHUNK = 1 << 19
 
-    def __init__(self, path: str, kept: int):
+    def __init__(self, path: str, kept: int | None = None):
         # A task has one core, and each thread of the library would keep memory of its own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
-        self._kept, self._ids = kept, {}
+        self.KEPT = kept or self.KEPT
+        self._ids: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, at = [], 0
@@ -52,7 +55,7 @@ class Encoder:
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._ids) > self._kept:
+        if len(self._ids) > self.KEPT:
             self._ids.clear()
         known, out, waiting = self._ids.get, [], []
         for text in texts:
@@ -94,7 +97,7 @@ class Encoder:
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str, kept: int = 1_000_000) -> Encoder:
+def encoder(path: str, kept: int = Encoder.KEPT) -> Encoder:
     """The worker's encoder, which goes from task to task with the ids of about ``kept`` pieces at most.
 
     Beyond that it starts anew. A piece with its ids takes some 200 bytes.
