@@ -530,10 +530,17 @@ def q_next_attr(spark, sf_dir):
 
 
 @check("""
-    SELECT page_id, 'excerpt,image' AS missing, TRUE AS no_container FROM pages
+    SELECT page_id, concat_ws(',', CASE WHEN page_id % 3 = 0 THEN 'title' END, 'excerpt',
+                              CASE WHEN page_id % 2 = 0 THEN 'image' END) AS missing, TRUE AS no_container
+    FROM pages WHERE page_id % 5 <> 0
 """)
 def q_missing(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    # Every third page loses its title, every second gets an image, every fifth the container.
+    html = F.when(F.col("page_id") % 3 == 0, F.regexp_replace("html", "</?h1>", "")).otherwise(F.col("html"))
+    html = F.concat(
+        html, F.when(F.col("page_id") % 2 == 1, "<figure><img src='i.png'></figure>").otherwise(""),
+        F.when(F.col("page_id") % 5 == 0, "<div class='latest-news-timeline-section'></div>").otherwise(""))
+    pages = table(spark, sf_dir, "pages").withColumn("html", html)
     layout = Layout(("div", "latest-news-timeline-section"), "article", {}, {})
     without = pages_without_container(pages, layout).select("page_id", "html")
     fields = {"title": Text("h1"), "excerpt": Text("p", "post-excerpt"),
@@ -564,7 +571,8 @@ def q_enrich(spark, sf_dir):
 
 
 def news_site(spark, sf_dir):
-    """The pages retold as a news site: (listing pages, article pages).
+    """The pages retold as a news site: (listing pages, article pages). A story is the whole page
+    with the marks of a story around its article.
 
     A page lists itself and, beyond the container's end, the front page, which
     is thus on a link of half of all rows; pages that are told twice differ.
@@ -586,17 +594,19 @@ def news_site(spark, sf_dir):
         F.lit("</html>"),
     ).alias("html"))
 
-    def story(author, content):
-        return F.concat(
-            F.lit("<html><!-- <span class='post-author'>no</span> --><span class='post-author'>By "),
-            author, F.lit("</span><div class='post-content'>"), content,
-            F.lit("</div><img src='no.png'><div class='post-image-wrapper'></div><figure><img src='/"),
-            F.col("page_id"), F.lit(".png'></figure></html>"))
-
-    told = pages.select("page_id", "url", story(F.lit("Byron"), first).alias("html"))
+    def story(author, begin, end):
+        """The whole page, its article between the marks of a story."""
+        opened = F.concat(
+            F.lit("<!-- <span class='post-author'>no</span> --><span class='post-author'>By "), F.lit(author),
+            F.lit(f"</span><div class='post-content'>{begin}"))
+        closed = F.concat(
+            F.lit(f"{end}</div><img src='no.png'><div class='post-image-wrapper'></div><figure><img src='/"),
+            F.col("page_id"), F.lit(".png'></figure>"))
+        return F.replace(F.replace("html", F.lit("<article>"), opened), F.lit("</article>"), closed)
+
+    told = pages.select("page_id", "url", story("Byron", "", "").alias("html"))
     front = pages.select(
-        "page_id", F.lit("/front").alias("url"),
-        story(F.lit("Jane"), F.concat(F.lit("<div>"), first, F.lit("</div> nested"))).alias("html"))
+        "page_id", F.lit("/front").alias("url"), story("Jane", "<div>", "</div> nested").alias("html"))
     return listing, told.unionByName(front)
 
 
@@ -604,12 +614,12 @@ TITLE_SQL = text_sql("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")
 NEWS_SQL = f"""
     SELECT page_id, 0 AS pos, {TITLE_SQL} AS title, 'On ' || page_id AS excerpt,
            'day ' || page_id AS date, url AS link, ' ron' AS author,
-           arg_max({TITLE_SQL}, page_id) OVER (PARTITION BY url) AS content,
+           arg_max({text_sql(ARTICLE_SQL)}, page_id) OVER (PARTITION BY url) AS content,
            '/' || max(page_id) OVER (PARTITION BY url) || '.png' AS image
     FROM pages
     UNION ALL
     SELECT page_id, 1, 'Front & last', 'On ' || page_id, 'day ' || page_id, '/front', ' Jane',
-           (SELECT {TITLE_SQL} || ' nested' FROM pages ORDER BY page_id DESC LIMIT 1),
+           (SELECT {text_sql(f"('<div>' || {ARTICLE_SQL} || '</div> nested')")} FROM pages ORDER BY page_id DESC LIMIT 1),
            (SELECT '/' || max(page_id) || '.png' FROM pages)
     FROM pages
 """
