@@ -6,8 +6,8 @@ counts and p the probability after the failure arc, an arc of state s weighs (c(
 failure arc m / (c(s) + m), and the root (c(w) + 1) / (N + V + 1): smoothing with a Dirichlet prior of strength m.
 
 The automaton grows with the corpus, so no task holds it. Texts lie in blocks; a block asks for the counts of
-its distinct n-grams, which are summed where an n-gram is dealt to, and each block
-then traverses its texts over just the arcs it needs.
+its distinct n-grams, which are summed where an n-gram is dealt to. Each block then has just the arcs it needs
+and finds the weights of all its tokens at once, order by order, which equals the walk from state to state.
 """
 
 from __future__ import annotations

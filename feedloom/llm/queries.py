@@ -39,7 +39,7 @@ def query(function: Query) -> Query:
 @query
 def op1_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out("doc_id", 7, 2)
-    found = score_texts(table(spark, sf_dir, "documents"), F.col("doc_id").isNotNull() & ~out)
+    found = score_texts(table(spark, sf_dir, "documents"), F.col("doc_id").isNotNull() & ~out, order=3)
     return found.select(
         F.col("id").alias("doc_id"), held_out("id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import language_model
 from feedloom.llm.language_id import held_out
 from feedloom.llm.language_model import score_texts
+from feedloom.llm.queries import op1_backoff
 from tests.llm.conftest import odd_rows
 
 END = None
@@ -89,3 +90,14 @@ def test_probabilities_of_all_words_sum_to_one():
     for state in [(), (END,), ("a",), ("b", "b"), (END, "a")]:
         # One more word, never seen, has what is left.
         assert sum(model.arc(state, w) for w in words) + model.arc(state, "never") == pytest.approx(1)
+
+
+def test_query_knows_three_words(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    trains = [zlib.crc32(str(r.doc_id).encode()) % 7 != 2 for r in rows]
+    model = Automaton([r.text for r, ok in zip(rows, trains) if ok], 3, 300.0)
+    want = {r.doc_id: model.score(r.text) for r in rows[:40]}
+    got = {r.doc_id: r.score for r in op1_backoff(spark, sf_dir).collect()}
+    assert len(got) == len(rows)
+    for doc_id, score in want.items():
+        assert got[doc_id] == pytest.approx(score, rel=1e-9)
