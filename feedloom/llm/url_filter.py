@@ -8,8 +8,6 @@ Everything is DataFrame functions; pages are counted by host and link before any
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.llm.common import saved
@@ -55,12 +53,13 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def propagated(
-    seeds: DataFrame, links: DataFrame, *, damping: float = 0.85, tolerance: float = 1e-4, rounds: int = 50,
+    seeds: DataFrame, links: DataFrame, *, damping: float = 0.85, tolerance: float = 1e-4,
 ) -> DataFrame:
     """(host, trust, distrust) of every host that either reaches, from seeds (host, trust, distrust) and ``host_links``.
 
-    Each round sends what the last one brought, times ``damping``, on by the hosts' shares of links, until less than
-    ``tolerance`` of the seeds is under way. The scores are the sums of all rounds, each a written table.
+    Each round sends what the last one brought, times ``damping``, on by the hosts' shares of links. Each kind goes on
+    until a round brings no host more than ``tolerance`` of what the host has of that kind: so while it reaches new hosts,
+    however little is under way. The scores are the sums of all rounds, a written table after each.
     """
     arcs = links.select(F.explode(F.array(
         F.struct(F.lit("trust").alias("kind"), F.col("a").alias("host"), F.col("b").alias("to"), "n"),
@@ -68,28 +67,21 @@ def propagated(
     totals = arcs.groupBy("kind", "host").agg(F.sum("n").alias("total"))
     arcs = saved(
         arcs.join(totals, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("share")), "host-arcs")
-    sent = saved(seeds.select(F.explode(F.array(*[
+    # What a host has got in all, and of that in the last round.
+    scores = saved(seeds.select(F.explode(F.array(*[
         F.struct(F.lit(kind).alias("kind"), "host", ((1 - damping) * F.col(kind)).alias("score")) for kind in ("trust", "distrust")
-    ])).alias("s")).select("s.*").where("score > 0"), "host-scores")
-    brought = [sent]
-    whole = _sum(sent)
-    for _ in range(rounds):
-        sent = saved(
-            sent.join(arcs, ["kind", "host"]).groupBy("kind", F.col("to").alias("host"))
-            .agg((damping * F.sum(F.col("score") * F.col("share"))).alias("score")), "host-scores")
-        under_way = _sum(sent)
-        if under_way <= tolerance * whole:
-            break
-        brought.append(sent)
+    ])).alias("s")).select("s.*").where("score > 0").withColumn("last", F.col("score")), "host-scores")
+    while open_ := [r.kind for r in scores.where(F.col("last") > tolerance * F.col("score")).select("kind").distinct().collect()]:
+        sent = scores.where(F.col("kind").isin(open_) & (F.col("last") > 0)).join(arcs, ["kind", "host"]).select(
+            "kind", F.col("to").alias("host"), (damping * F.col("last") * F.col("share")).alias("score"))
+        scores = saved(
+            scores.select("kind", "host", "score", F.lit(0.0).alias("last")).union(sent.withColumn("last", F.col("score")))
+            .groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("last").alias("last")), "host-scores")
 
     def of(kind: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
 
-    return reduce(DataFrame.union, brought).groupBy("host").agg(of("trust"), of("distrust"))
-
-
-def _sum(scores: DataFrame) -> float:
-    return scores.agg(F.sum("score")).head()[0] or 0.0
+    return scores.groupBy("host").agg(of("trust"), of("distrust"))
 
 
 def judge_urls(

@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.llm.url_filter import host_links, host_of, judge_urls, path_of, rule_of
+from feedloom.llm.url_filter import host_links, host_of, judge_urls, path_of, propagated, rule_of
 
 ALLOW, BLOCK = ["org/", "com/fr/"], ["example.org/es/", "example.org/en/1", "com/de/"]
 URLS = [
@@ -110,3 +110,15 @@ def test_empty_and_clash(spark):
     assert [r.verdict for r in judge_urls(_pages(spark, [("http://a.org/", "")]), [], []).collect()] == ["allow"]
     with pytest.raises(ValueError):
         judge_urls(_pages(spark, []), ["org/"], ["org/"])
+
+
+def test_little_distrust_reaches_far_hosts(spark):
+    # Trust ends at once, and 54 hosts are lined up before the blocked one.
+    seeds = spark.createDataFrame([("good", 1.0, 0.0), ("h0", 0.0, 1e-6)], "host string, trust double, distrust double")
+    links = spark.createDataFrame(
+        [("good", "end", 1)] + [(f"h{n + 1}", f"h{n}", 1) for n in range(54)], "a string, b string, n long").coalesce(1)
+    got = {r.host: (r.trust, r.distrust) for r in propagated(seeds.coalesce(1), links).collect()}
+    assert got.pop("good") == pytest.approx((0.15, 0)) and got.pop("end") == pytest.approx((0.15 * 0.85, 0))
+    assert len(got) == 55
+    for n in range(55):
+        assert got[f"h{n}"] == pytest.approx((0, 0.15e-6 * 0.85 ** n), rel=1e-9, abs=0)
