@@ -38,6 +38,7 @@ OTHER_NAMES = (
 )
 _OTHER = frozenset(OTHER_TAGS) | {"." + name for name in OTHER_NAMES}
 _MARKED = r"(?i)<(?:article|main)[\s>]"
+_SIGNS = frozenset("©®|•·")
 
 
 def label(block: Block) -> int:
@@ -66,12 +67,11 @@ def _bucket(value: float, edges: tuple) -> int:
 def features(block: Block) -> list[int]:
     """Of the elements around, and of the text: length, share of links, how it ends and begins, digits, signs."""
     text, size = block.text, len(block.text)
-    head = text[:200]
     names = (
         "bias", f"length:{_bucket(size, (10, 25, 50, 100, 200, 400))}", f"links:{_bucket(block.linked / size, (0.05, 0.3, 0.7, 0.99))}",
         f"ends:{text[-1] in '.!?…:;»”\"'}", f"begins:{text[0].isupper()}",
-        f"digits:{_bucket(sum(map(str.isdigit, head)) / len(head), (0.02, 0.1, 0.3))}",
-        f"signs:{any(c in '©®|•·' for c in head)}", f"commas:{_bucket(head.count(','), (1, 3))}",
+        f"digits:{_bucket(sum(map(str.isdigit, text)) / size, (0.02, 0.1, 0.3))}",
+        f"signs:{not _SIGNS.isdisjoint(text)}", f"commas:{_bucket(text.count(','), (1, 3))}",
     )
     return [*map(_feature, names), *_around(block.around)]
 
@@ -179,16 +179,16 @@ def taught_otherwise(blocks: list[Block], labels: list[int], rng: random.Random)
     return page, labels
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", *, sample: int = SAMPLE) -> Field:
-    """Learn from about ``sample`` labelled pages, chosen by a hash of id and text; equal ones count once.
+def train(pages: DataFrame, html_col: str = "html", *, sample: int = SAMPLE) -> Field:
+    """Learn from about ``sample`` labelled pages of all such, chosen by a hash of the text; equal ones count once.
 
     Without labelled pages the field knows nothing, and every block counts as text.
     """
-    rows = pages.select(F.col(html_col).alias("html"), F.xxhash64(id_col, html_col).alias("salt"))
-    count = pages.count()
+    rows = pages.select(F.col(html_col).alias("html"), F.xxhash64(html_col, F.lit("page sample")).alias("salt")) \
+        .where(F.col("html").rlike(_MARKED) & (F.octet_length("html") <= SAMPLE_BYTES))
+    count = rows.select("salt").distinct().count()
     share = min(1.0, sample / max(count, 1))
-    chosen = rows.where((F.pmod("salt", F.lit(1 << 40)) < share * (1 << 40)) & F.col("html").rlike(_MARKED)
-                        & (F.octet_length("html") <= SAMPLE_BYTES)).select("html").distinct().collect()
+    chosen = rows.where(F.pmod("salt", F.lit(1 << 40)) < share * (1 << 40)).select("html").distinct().collect()
     chains = []
     for html in sorted(row.html for row in chosen):
         blocks = blocks_of(html)

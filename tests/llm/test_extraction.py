@@ -85,3 +85,20 @@ def test_no_labelled_pages_and_no_pages(spark):
     assert [r.text for r in ex.extract(pages, ex.train(pages)).collect()] == ["x y\nz"]
     none = _pages(spark, [])
     assert ex.extract(none, ex.train(none)).collect() == []
+
+
+def test_few_marked_pages_are_all_learned(spark):
+    rng = random.Random(11)
+    marked = [_page(rng)[0] for _ in range(8)]
+    plain = [f"<div><p>page {n} without a mark</div>" for n in range(792)]
+    pages = _pages(spark, [("a", html) for html in plain + marked + marked[:4]])
+    alone = ex.train(_pages(spark, [("a", html) for html in marked]))
+    assert np.array_equal(ex.train(pages, sample=8).of, alone.of) and alone.of.any()
+
+
+def test_features_look_at_the_whole_block():
+    def told(text):
+        return set(ex.features(blocks_of(f"<p>{text}</p>")[0]))
+
+    assert ex._feature("signs:True") in told("word " * 50 + "©") and ex._feature("commas:2") in told("word " * 50 + "a, b, c, d")
+    assert ex._feature("digits:3") in told("word " * 50 + "1" * 1000) and ex._feature("digits:0") in told("1" * 100 + "a" * 50_000)
