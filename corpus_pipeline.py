@@ -35,7 +35,7 @@ def secretless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the sequences of 1024 tokens."""
-    return pack(docs, tokenizer(), capacity=1024, end_id=0).withColumnRenamed("id", "doc_id")
+    return pack(docs, tokenizer(), capacity=1024, end_id=0, added=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

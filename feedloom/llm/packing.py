@@ -48,12 +48,12 @@ def balance(lengths: np.ndarray, capacity: int, linear: float = 1.0, quadratic:
 _PIECE_COLUMNS = ["group", "id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
 
 
-def _pieces(path: str, capacity: int, end_id: int, groups: int):
+def _pieces(path: str, capacity: int, end_id: int, groups: int, added: bool):
     """Rows (id, salt, text) -> whole sequences as they are, and the rest of each document with its ids."""
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = encoder(path)
+        library = encoder(path, added=added)
         for batch in batches:
             for part in slices(batch, 2, 1 << 22):
                 rows = []
@@ -104,19 +104,20 @@ def _packer(capacity: int, linear: float, quadratic: float):
 def pack(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *,
     capacity: int = 1024, end_id: int = 0, linear: float = 1.0, quadratic: float = 1.0 / 1024, group: int = GROUP,
+    added: bool = False,
 ) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset): where each piece of each document lies.
 
     A document is its ids, then ``end_id``; null or empty text has that one id. Whole sequences are cut from
     its front as they are, what is left is packed with that of about ``group`` others, so the padding is under
     one sequence a group. A document's ids lie in exactly one piece each. Repeated rows are packed each;
-    null ids stay null. No other column is read.
+    null ids stay null. No other column is read. ``added`` is that of ``tokens.Encoder``.
     """
     rows = modest(docs).select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("salt"), F.col(text_col).alias("text"))
     groups = max(1, -(-docs.count() // group))
     kind = rows.schema["id"].dataType.simpleString()
     pieces = rows.mapInArrow(
-        _pieces(tokenizer, capacity, end_id, groups),
+        _pieces(tokenizer, capacity, end_id, groups, added),
         f"group long, id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary",
     )
     return pieces.groupBy("group").applyInArrow(

@@ -52,7 +52,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), tokenizer(), capacity=1024, end_id=0).withColumnRenamed("id", "doc_id")
+    return pack(table(spark, sf_dir, "documents"), tokenizer(), capacity=1024, end_id=0, added=True).withColumnRenamed("id", "doc_id")
 
 
 @query
@@ -107,7 +107,7 @@ def op6_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(table(spark, sf_dir, "documents"), tokenizer(), end_id=2).withColumnRenamed("id", "doc_id")
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer(), end_id=2, added=True).withColumnRenamed("id", "doc_id")
 
 
 @query

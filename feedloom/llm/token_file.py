@@ -99,11 +99,11 @@ def _put(folder: str, name: str, content: bytes) -> None:
     system.move(part, f"{path}/{name}")
 
 
-def _writer(path: str, folder: str, end_id: int, file_ids: int):
+def _writer(path: str, folder: str, end_id: int, file_ids: int, added: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, stretch, number = encoder(path, kept=400_000), TaskContext.get().partitionId(), 0
+        library, stretch, number = encoder(path, kept=400_000, added=added), TaskContext.get().partitionId(), 0
         docs, held, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -129,19 +129,19 @@ def _writer(path: str, folder: str, end_id: int, file_ids: int):
 
 def write_tokens(
     docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *,
-    end_id: int = 2, file_ids: int = FILE_IDS,
+    end_id: int = 2, file_ids: int = FILE_IDS, added: bool = False,
 ) -> DataFrame:
     """Write every document's ids, ``end_id`` last, to ``folder`` in ascending order of id; (file, docs, ids) of each file.
 
     Files are in the order of their names. Null ids come first, equal ids in the order of their texts; null text
     counts as empty. The ids must be integers. Only texts are shuffled, once; ids go straight from the tokenizer
-    to the file.
+    to the file. ``added`` is that of ``tokens.Encoder``.
     """
     fs.FileSystem.from_uri(folder)[0].create_dir(fs.FileSystem.from_uri(folder)[1], recursive=True)
     rows = modest(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return saved(
         rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-        .mapInArrow(_writer(tokenizer, folder, end_id, file_ids), "file string, docs long, ids long"),
+        .mapInArrow(_writer(tokenizer, folder, end_id, file_ids, added), "file string, docs long, ids long"),
         "token-files",
     )
 

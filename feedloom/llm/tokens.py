@@ -4,7 +4,8 @@ The tokenizer cuts a text into pieces (words, numbers, signs, white space) and
 merges bytes within each piece alone, so a piece has the same ids wherever it
 stands. A worker therefore asks the library once for each new piece and keeps
 its ids. Texts with characters outside the listed ones are given to the library
-whole.
+whole, and so are those that hold an added token such as ``<|endoftext|>`` where
+these count as tokens.
 """
 
 from __future__ import annotations
@@ -26,20 +27,25 @@ _WORD = re.compile(rf" [{_LETTERS}]+")
 
 
 class Encoder:
-    """``encode``: texts to little-endian unsigned 32-bit ids, without special tokens."""
+    """``encode``: texts to little-endian unsigned 32-bit ids; nothing is put around a text.
+
+    With ``added`` what a text holds of the file's added tokens gets their ids, which is the library's default.
+    Without it special tokens are encoded as other text.
+    """
 
     #: Pieces kept at once, about; beyond it the worker starts anew.
     KEPT = 1_000_000
     #: Characters looked at together.
     _CHUNK = 1 << 19
 
-    def __init__(self, path: str, kept: int | None = None):
+    def __init__(self, path: str, kept: int | None = None, added: bool = False):
         # A task has one core, and each thread of the library would keep memory of its own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
+        self._library.encode_special_tokens = not added
+        self._added = [t.content for t in self._library.get_added_tokens_decoder().values()] if added else []
         self.KEPT = kept or self.KEPT
         self._ids: dict[str, bytes] = {}
 
@@ -59,7 +65,7 @@ class Encoder:
             self._ids.clear()
         known, out, waiting = self._ids.get, [], []
         for text in texts:
-            if not text.isascii() and not _PLAIN.fullmatch(text):
+            if not text.isascii() and not _PLAIN.fullmatch(text) or any(token in text for token in self._added):
                 out += self._whole([text])
                 continue
             pieces = _PIECE.findall(text)
@@ -94,14 +100,14 @@ class Encoder:
         self._ids.update(zip(rest, self._whole(rest)))
 
 
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
+_ENCODERS: dict[tuple[str, int, bool], Encoder] = {}
 
 
-def encoder(path: str, kept: int = Encoder.KEPT) -> Encoder:
+def encoder(path: str, kept: int = Encoder.KEPT, added: bool = False) -> Encoder:
     """The worker's encoder, which goes from task to task with the ids of about ``kept`` pieces at most.
 
     Beyond that it starts anew. A piece with its ids takes some 200 bytes.
     """
-    if (path, kept) not in _ENCODERS:
-        _ENCODERS[path, kept] = Encoder(path, kept)
-    return _ENCODERS[path, kept]
+    if (path, kept, added) not in _ENCODERS:
+        _ENCODERS[path, kept, added] = Encoder(path, kept, added)
+    return _ENCODERS[path, kept, added]

@@ -2,6 +2,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -9,10 +10,11 @@ from hypothesis import given, strategies as st
 from tokenizers import Tokenizer
 
 from feedloom.llm.packing import balance, pack
+from feedloom.llm.queries import op2_packing, op7_token_files
 from feedloom.llm.token_file import decode, encode, round_trip
 from feedloom.llm.tokens import Encoder
 
-from .conftest import odd_rows
+from .conftest import docs_of, odd_rows
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -139,3 +141,29 @@ def test_coding_of_wide_ranks():
     content = encode([1], np.array([len(ids)]), ids)
     assert (decode(content)[2] == ids).all()
     assert len(content) < 4 * 70_000 + len(ids) * 2.5 + 2 * (70_000 - 65_536) + 100
+
+
+MARKED = ["a <|endoftext|> b", "<|endoftext|>", "漢 <|endoftext|><|endoftext|>x", "plain <|endoftext |> text", "", "one two"]
+
+
+def test_encoder_with_added_tokens_equals_the_library_as_it_is():
+    library, encoder = Tokenizer.from_file(PATH), Encoder(PATH, added=True)
+    texts = MARKED + [t or "" for _, t, _, _ in odd_rows()]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(MARKED)[0], "<u4").tolist() == [64, 220, 50256, 275]
+
+
+def test_queries_encode_as_the_library_as_it_is(spark, work):
+    library = Tokenizer.from_file(PATH)
+    docs = docs_of(spark, [(n, text, "en", "a") for n, text in enumerate(MARKED)])
+    docs.write.parquet(f"{work}/documents.parquet")
+    for end, rows in (
+        (0, op2_packing(spark, work).collect()), (0, corpus_pipeline.packed(spark, docs, work).collect()), (2, op7_token_files(spark, work).collect()),
+    ):
+        want = {n: [*library.encode(text, add_special_tokens=False).ids, end] for n, text in enumerate(MARKED)}
+        got = {r.doc_id: (r.ids_crc32, r.doc_tokens if "doc_tokens" in r else r.n_tokens) for r in rows}
+        if end == 2:
+            assert got == {n: (zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)), len(ids)) for n, ids in want.items()}
+        else:
+            assert {n: tokens for n, (_, tokens) in got.items()} == {n: len(ids) for n, ids in want.items()}
