@@ -9,10 +9,10 @@ few owners. What many owners hold was copied from an example.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from math import log2
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -37,29 +37,33 @@ _SPANS = "array<struct<start:long,end:long,kind:int,value:long>>"
 
 
 def live_looking(value: str) -> bool:
-    """20 to 256 characters with digits and letters, of at least 3 bits each; not one run of a few characters."""
-    if not 20 <= len(value) <= 256 or not re.search(r"[0-9]", value) or not re.search(r"[A-Za-z]", value):
+    """20 characters or more with digits and letters, of at least 3 bits each; not one run of a few characters."""
+    if len(value) < 20 or not re.search(r"[0-9]", value) or not re.search(r"[A-Za-z]", value):
         return False
     shares = [value.count(c) / len(value) for c in set(value)]
     return -sum(s * log2(s) for s in shares) >= 3.0
 
 
 def candidates(text: str) -> list[tuple[int, int, int, int]]:
-    """(start, end, kind, hash of the value) of the base findings and of other candidates outside of them."""
+    """(start, end, kind, hash of the value) of the base findings and of other candidates that these do not cover."""
     found = []
     low = text.lower()
     if any(hint in low for hint in _ASSIGN_HINTS):
         found += [(m.start(), m.end(), 0, m[2]) for m in _ASSIGN.finditer(text) if len(m[2]) >= _LEAST_ASSIGNED]
     found += [(m.start(), m.end(), 1, m[0]) for m in _ACCESS.finditer(text)]
     found += [(m.start(), m.end(), 2, m[0]) for m in _HEX.finditer(text)]
-    base = sorted((a, b) for a, b, _, _ in found)
-    starts = [a for a, _ in base]
-    # The furthest end of the findings up to each: they may overlap.
-    reach = np.maximum.accumulate([b for _, b in base]).tolist() if base else []
+    # Stretches that the base findings cover: these may touch or overlap.
+    starts, ends = [], []
+    for a, b in sorted((a, b) for a, b, _, _ in found):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     for m in _CANDIDATE.finditer(text):
         if live_looking(m[0]):
-            before = int(np.searchsorted(starts, m.end())) if starts else 0
-            if not before or reach[before - 1] <= m.start():
+            at = bisect_right(starts, m.start()) - 1
+            if at < 0 or ends[at] < m.end():
                 found.append((m.start(), m.end(), OWNED, m[0]))
     found.sort(key=lambda f: (f[0], f[2]))
     return [(a, b, kind, xxhash.xxh64_intdigest(value.lower().encode()) - (1 << 63)) for a, b, kind, value in found]

@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import random
 import re
@@ -94,3 +95,16 @@ def test_query(spark, sf_dir):
         listed = [f"{KINDS[k]}:{a}:{b}" for a, k, b in spans]
         assert r.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s and not s.startswith("owned")] == listed
+
+
+def test_long_values_and_values_around_a_base_finding(spark):
+    key = base64.b64encode(b"".join(hashlib.sha256(bytes([n])).digest() for n in range(30))).decode()
+    payload = key[:700].replace("+", "-").replace("/", "_")
+    around = "Zq7Xw9Kt_" + hex_of("inner", 24) + "_Rv8Mz2Pq"
+    rows = [(1, f"x {key} y", "en", "a"), (2, f"ey.{payload}.Sig", "en", "a"), (3, f"x {around} y", "en", "b"), (4, f"token={hex_of(4)}", "en", "b")]
+    found = {r.id: [(KINDS[s.kind], s.start, s.end) for s in r.spans] for r in find_secrets(docs_of(spark, rows)).collect()}
+    assert found[1] == [("owned", 2, 2 + len(key))] and found[2] == [("owned", 3, 703)]
+    assert ("owned", 2, 2 + len(around)) in found[3] and ("hex", 11, 35) in found[3]
+    assert {kind for kind, _, _ in found[4]} == {"assign", "hex"}
+    texts = {r.doc_id: r.text for r in without_secrets(docs_of(spark, rows)).collect()}
+    assert texts == {1: "x [SECRET] y", 2: "ey.[SECRET].Sig", 3: "x [SECRET] y", 4: "[SECRET]"}
