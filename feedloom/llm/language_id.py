@@ -162,11 +162,13 @@ _SCALE = 100.0
 def train(rows: DataFrame, label_col: str = "lang", text_col: str = "text", *, sample: int = SAMPLE, passes: int = 3) -> Model:
     """Learn from the rows whose label and text are not null.
 
-    Document frequencies come from all of them, weights from about ``sample`` rows of each label, chosen by the
-    hash of their text; a fifth of these sets the temperature. No rows: a model that knows no label.
+    Document frequencies come from all of them, weights from about ``sample`` different texts of each label, chosen by
+    their hash; a fifth of these sets the temperature. No rows: a model that knows no label.
     """
     known = modest(rows).select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")).dropna()
-    counts = {r.label: r["count"] for r in known.groupBy("label").count().limit(LANGUAGES + 1).collect()}
+    salted = known.withColumn("salt", F.xxhash64("text", F.lit("language sample")))
+    # Copies of a text have one salt; a large group of them counts as one text.
+    counts = {r.label: r["count"] for r in salted.select("label", "salt").distinct().groupBy("label").count().limit(LANGUAGES + 1).collect()}
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} labels")
     labels = sorted(counts)
@@ -177,9 +179,7 @@ def train(rows: DataFrame, label_col: str = "lang", text_col: str = "text", *, s
             .groupBy("feature").agg(F.sum("documents").alias("documents")).collect():
         documents[row.feature] = row.documents
     idf = np.log((1 + documents[-1]) / (1 + documents[:-1])) + 0.1
-    salted = known.withColumn("salt", F.xxhash64("text", F.lit("language sample")))
     share = F.create_map(*[F.lit(x) for label in labels for x in (label, min(1.0, sample / counts[label]))])[F.col("label")]
-    # Copies of a text have one salt; a large group of them counts as one row of the sample.
     chosen = salted.where(F.pmod("salt", F.lit(1 << 40)) < share * (1 << 40)) \
         .groupBy("label", "salt").agg(F.first("text").alias("text")).mapInArrow(_featurise, "label string, salt long, features binary, shares binary")
     examples = []

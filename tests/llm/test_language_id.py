@@ -1,9 +1,10 @@
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from feedloom.llm.language_id import held_out, identified, predict, train
+from feedloom.llm.language_id import Ftrl, held_out, identified, predict, train
 from tests.llm.conftest import docs_of, odd_rows
 
 WORDS = {
@@ -46,3 +47,23 @@ def test_odd_rows(spark, odd, none):
     assert predict(none, model).collect() == [] and identified(none, model).collect() == []
     unlearned = train(none)
     assert {r.label for r in predict(odd, unlearned).collect()} == {"und"}
+
+
+def test_label_of_copies_is_learned(spark, monkeypatch):
+    rng = random.Random(4)
+    learned, learn = Counter(), Ftrl.learn
+
+    def counted(self, features, values, label):
+        learned[label] += 1
+        learn(self, features, values, label)
+
+    def text(lang):
+        return " ".join(rng.choice(WORDS[lang].split()) for _ in range(30))
+
+    monkeypatch.setattr(Ftrl, "learn", counted)
+    few = [text("es") for _ in range(20)]
+    rows = [(lang, text(lang)) for lang in ("en", "de") for _ in range(60)] + [("es", few[n % 20]) for n in range(4000)]
+    model = train(docs_of(spark, [(n, t, lang, "s") for n, (lang, t) in enumerate(rows)]), sample=40, passes=1)
+    # All 20 texts are in the sample; about a fifth of it is held back.
+    assert learned[model.labels.index("es")] >= 12
+    assert set(model.predict([text("es") for _ in range(20)])[0]) == {"es"}
