@@ -34,6 +34,8 @@ def _fold() -> np.ndarray:
 
 #: Value of each byte; A-Z have the values of a-z.
 _VALUE = mix(_fold().astype(np.uint64) + np.uint64(0x5851F42D4C957F2D))
+#: Value of each byte; A-Z have values of their own.
+AS_WRITTEN = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x5851F42D4C957F2D))
 
 _byte = np.arange(256)
 #: Words are what stands between ASCII white space.
@@ -57,8 +59,8 @@ def spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.n
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of each word, a few megabytes of text at a time."""
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, of: np.ndarray = _VALUE) -> np.ndarray:
+    """The hash of each word, a few megabytes of text at a time; ``of`` has the value of each byte."""
     out = np.zeros(len(starts), np.uint64)
     if not len(starts):
         return out
@@ -71,7 +73,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         size = lengths[at:to]
         first = total[at:to] - total[at]
         place = np.arange(total[to] - total[at]) - np.repeat(first, size)
-        values = _VALUE[data[np.repeat(starts[at:to], size) + place]] * powers[place]
+        values = of[data[np.repeat(starts[at:to], size) + place]] * powers[place]
         out[at:to] = np.add.reduceat(values, first)
         at = to
     return mix(out)
