@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
 BatchSink = Callable[[DataFrame, int, str], None]
 
@@ -61,24 +62,26 @@ def claim_checkpoint(spark: SparkSession, root: str, query: str, target: str) ->
 def start(
     stream: DataFrame,
     query: str,
-    sink: BatchSink,
+    sink: BatchSink | None,
     *,
     target: str,
     checkpoint_root: str,
     every: str | None = None,
     available_now: bool = False,
-) -> StreamingQuery:
+    output_mode: str = "append",
+):
     """Start a query that hands (batch, batch id, run id) to ``sink``; does not wait.
 
     By default a batch starts when the last ends; ``every`` paces them, e.g.
-    "5 seconds"; ``available_now`` works off what is there and ends.
+    "5 seconds"; ``available_now`` works off what is there and ends. Without a sink
+    the batches are worked off for what they leave in the query's state.
     """
     checkpoint, run = claim_checkpoint(stream.sparkSession, checkpoint_root, query, target)
-    writer = (
-        stream.writeStream.queryName(query).outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: sink(batch, batch_id, run))
-    )
+    writer = stream.writeStream.queryName(query).outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if sink:
+        writer = writer.foreachBatch(lambda batch, batch_id: sink(batch, batch_id, run))
+    else:
+        writer = writer.format("noop")
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif every:
@@ -86,7 +89,7 @@ def start(
     return writer.start()
 
 
-def run_bounded(query: StreamingQuery, timeout: float | None = 180) -> bool:
+def run_bounded(query, timeout: float | None = 180) -> bool:
     """Wait for at most ``timeout`` seconds, then stop; True if the query ended by itself.
 
     A failure of the query is raised. Stopping within a batch is safe, it is run
@@ -97,3 +100,44 @@ def run_bounded(query: StreamingQuery, timeout: float | None = 180) -> bool:
     finally:
         if query.isActive:
             query.stop()
+
+
+def run_batches(query, last: int, timeout: float = 180) -> bool:
+    """Wait until batch ``last`` has ended, then stop; False if that took longer than ``timeout`` seconds.
+
+    For sources that never end. A failure of the query is raised.
+    """
+    limit = time.monotonic() + timeout
+    try:
+        while time.monotonic() < limit:
+            if query.awaitTermination(0.1):
+                return False
+            if query.lastProgress and query.lastProgress.batchId >= last:
+                return True
+        return False
+    finally:
+        if query.isActive:
+            query.stop()
+
+
+_BATCH = "query string, run string, batch_id long, started timestamp, rows long, seconds double, counts map<string,long>"
+
+
+def batches(spark: SparkSession, *queries) -> DataFrame:
+    """The batches that queries have worked off, as a table; those without input are left out.
+
+    (query, run, batch_id, started, rows, seconds, counts): ``run`` is another with each start, ``counts`` holds
+    what the stream counts while its rows pass (``operators.validity.tagged``). A query that runs on or has ended remembers its
+    last ``spark.sql.streaming.numRecentProgressUpdates`` triggers (100 by default).
+    """
+    rows = []
+    for query in queries:
+        for progress in query.recentProgress:
+            if not progress.numInputRows:
+                continue
+            counts = {k: v for seen in progress.observedMetrics.values() for k, v in seen.asDict().items()}
+            started = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
+            rows.append((
+                progress.name, str(progress.runId), progress.batchId, started, progress.numInputRows,
+                progress.batchDuration / 1000, counts))
+    return spark.createDataFrame(rows, _BATCH)

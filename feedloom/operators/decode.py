@@ -17,6 +17,7 @@ def decode(
     key_expr: Mapping[str, Column] | None = None,
     corrupt_col: str | None = None,
     keep: Iterable[str] = (),
+    repair_utf8: bool = False,
 ) -> DataFrame:
     """Parse the JSON in ``value`` with a fixed schema; no row is dropped.
 
@@ -27,6 +28,8 @@ def decode(
     key_expr       {column: expression} that fills the column where it is NULL
     corrupt_col    extra column with the text of a malformed message
     keep           envelope columns to carry along, e.g. ("timestamp", "offset")
+    repair_utf8    bytes that are no UTF-8 become U+FFFD before the parse; to set such messages
+                   apart, split by ``validity.is_utf8`` first
     """
     field_aliases = dict(field_aliases or {})
     wanted = T.StructType(list(schema.fields) + list(strings(
@@ -37,9 +40,10 @@ def decode(
         wanted = wanted.add(corrupt_col, T.StringType())
         options["columnNameOfCorruptRecord"] = corrupt_col
 
-    parsed = messages.select(
-        *keep, F.from_json(F.col("value").cast("string"), wanted, options).alias("data")
-    )
+    text = F.col("value").cast("string")
+    if repair_utf8:
+        text = F.make_valid_utf8(text)
+    parsed = messages.select(*keep, F.from_json(text, wanted, options).alias("data"))
     columns = []
     for name in schema.fieldNames():
         sources = [s for s, target in field_aliases.items() if target == name]

@@ -23,16 +23,18 @@ ADDRESS_PATHS = [
     "location.street.number", "location.street.name",
     "location.city", "location.state", "location.country",
 ]
+# What stands before each part of an address.
+_GAPS = ["", " ", ", ", " ", " "]
 
 
-def _shown(name: str) -> Column:
+def _shown(part: Column) -> Column:
     """A scalar as Python's ``str`` shows it: null is ``None``, booleans are capitalised,
     numbers are taken as they were written. Objects and arrays stay JSON."""
-    leaf, text, written = F.col(f"leaf.{name}"), F.col(f"text.{name}"), F.col(f"written.{name}")
-    return F.when(text.isNull() & leaf.isNotNull(), "None").when(
+    leaf, text, written = part["leaf"], part["text"], part["written"]
+    return F.when(written.isNotNull(), F.when(
+        written.rlike(r"^-?\d+$"), F.regexp_replace(written, "^-0$", "0")).otherwise(_float_shown(written.cast("double")))
+    ).when(text.isNull() & leaf.isNotNull(), "None").when(
         text.isin("true", "false") & (F.schema_of_variant(leaf) == "BOOLEAN"), F.initcap(text)
-    ).when(written.rlike(r"^-?\d+$"), F.regexp_replace(written, "^-0$", "0")).when(
-        written.isNotNull(), _float_shown(written.cast("double"))
     ).otherwise(text)
 
 
@@ -84,23 +86,23 @@ def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool =
     ]))
     # A VARIANT forgets how a number with a fraction was written. Few payloads have one in their
     # address, and only those are read again.
-    odd = {f"address_{i}": F.coalesce(F.schema_of_variant(F.col(f"leaf.address_{i}")).rlike(
-        "^(DECIMAL|DOUBLE|FLOAT)"), F.lit(False)) for i in range(len(ADDRESS_PATHS))}
+    places = range(len(ADDRESS_PATHS))
+
+    def fraction(leaf: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(leaf).rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+
+    odd = F.exists(F.array(*[F.col(f"leaf.address_{i}") for i in places]), fraction)
     again = F.from_json(raw, "results array<struct<location struct<street struct<number string, name string>, "
                              "city string, state string, country string>>>")
-    docs = docs.withColumn("again", F.when(F.greatest(*odd.values()), again)).withColumn("first", F.col("again.results")[0])
-    docs = docs.withColumn("written", F.struct(*[
-        F.when(odd[f"address_{i}"], F.col(f"first.{path}")).alias(f"address_{i}")
-        for i, path in enumerate(ADDRESS_PATHS)
-    ]))
-
-    number, street, city, state, country = [
-        _shown(f"address_{i}") for i in range(len(ADDRESS_PATHS))
-    ]
+    docs = docs.withColumn("first", F.when(odd, again)["results"][0])
+    # One expression for all parts, however long: five copies of it make code that the JVM does not compile.
+    parts = F.array(*[F.struct(
+        F.col(f"leaf.address_{i}").alias("leaf"), F.col(f"text.address_{i}").alias("text"),
+        F.when(F.col("first").isNotNull() & fraction(F.col(f"leaf.address_{i}")), F.col(f"first.{path}")).alias("written"),
+        F.lit(gap).alias("gap"),
+    ) for i, (path, gap) in enumerate(zip(ADDRESS_PATHS, _GAPS))])
     columns = {name: F.col(f"text.{name}") for name in PATHS}
-    columns["address"] = F.concat(
-        number, F.lit(" "), street, F.lit(", "), city, F.lit(" "), state, F.lit(" "), country
-    )
+    columns["address"] = F.aggregate(parts, F.lit(""), lambda line, part: F.concat(line, part["gap"], _shown(part)))
     if typed_postcode:
         columns["postcode"] = F.col("leaf.postcode")
     order = list(PATHS)

@@ -6,17 +6,19 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from feedloom.functions.markup import Attr, Text, read_all, read_fields, read_items
 from feedloom.functions.text import py_strip, remove_literal
 from feedloom.operators.articles import Layout, listed_articles, pages_without_container
 from feedloom.operators.decode import decodable, decode
+from feedloom.operators.drift import drift_report
 from feedloom.operators.enrich import enrich
 from feedloom.operators.flatten import complete, flatten_users
 from feedloom.operators.latest import latest_per_key
+from feedloom.operators.positions import store_numbered
 from feedloom.operators.stats import numeric_stats, scaled
-from feedloom.operators.validity import split_valid
+from feedloom.operators.validity import is_utf8, split_valid, tagged
 from feedloom.plans import jobs
 from feedloom.plans.jobs import Topic
 from feedloom.schemas import (
@@ -25,10 +27,10 @@ from feedloom.schemas import (
 )
 from feedloom.sinks.batches import append_sink, read_batches
 from feedloom.sinks.csv import export_csv, read_csv_export
-from feedloom.sinks.keyed import KeyedTable
-from feedloom.sources.pages import land_raw
+from feedloom.sources.pages import land_raw, read_html_files, store_bytes
 from feedloom.sources.topics import as_messages, publish, read_topic
 from feedloom.live import runs
+from feedloom.live.state import keep_latest, latest_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,10 +63,10 @@ def rounded(stats: DataFrame) -> DataFrame:
 
 @check("""
     SELECT count(n) AS count, round(avg(n * 5), 4) AS mean, round(stddev_samp(n * 5), 4) AS stddev
-    FROM (SELECT row_number() OVER () - 1 AS n FROM events)
+    FROM (SELECT unnest(range((SELECT max(l_orderkey) FROM lineitem))) AS n)
 """)
 def q_number_stats(spark, sf_dir):
-    n = table(spark, sf_dir, "events").count()
+    n = table(spark, sf_dir, "lineitem").agg(F.max("l_orderkey")).head()[0]
     return rounded(jobs.number_summary(spark, n))
 
 
@@ -90,16 +92,17 @@ def q_partkey_stats(spark, sf_dir):
 
 # --- messages -------------------------------------------------------------
 
-EVENT_FIELDS = ["event_id", "user_id", "event_type", "value", "props"]
+EVENT_FIELDS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 def event_messages(spark, sf_dir):
-    return as_messages(table(spark, sf_dir, "events").select(*EVENT_FIELDS), "events")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string"))
+    return as_messages(events.select(*EVENT_FIELDS), "events")
 
 
 @check("""
-    SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
-           CAST(value AS VARCHAR) AS value, props
+    SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS user_id,
+           event_type, CAST(value AS VARCHAR) AS value, props
     FROM events
 """)
 def q_envelope(spark, sf_dir):
@@ -138,23 +141,44 @@ def q_topic_routing(spark, sf_dir):
     return decode(messages, strings(["event_id"]), keep=["topic"])
 
 
-@check("""
-    SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS user, event_type
+DRIFTED = ["event_id", "at", "user", "event_type", "value", "props"]
+DRIFTED_SQL = """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, {at} AS at, {user} AS user, event_type, CAST(value AS VARCHAR) AS value, props
     FROM events
-""")
+"""
+
+
+@check(DRIFTED_SQL.format(at="CAST(NULL AS VARCHAR)", user="CAST(NULL AS VARCHAR)"))
 def q_drift(spark, sf_dir):
-    return decode(event_messages(spark, sf_dir), strings(["event_id", "user", "event_type"]))
+    return decode(event_messages(spark, sf_dir), strings(DRIFTED))
+
+
+@check(DRIFTED_SQL.format(at="CAST(ts AS VARCHAR)", user="CAST(user_id AS VARCHAR)"))
+def q_field_alias(spark, sf_dir):
+    return decode(event_messages(spark, sf_dir), strings(DRIFTED), field_aliases={"user_id": "user", "ts": "at"})
 
 
 @check("""
-    SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user, event_type
+    SELECT event_id AS "offset", CASE WHEN event_id % 9 <> 4 THEN CAST(user_id AS VARCHAR) END AS user_id,
+           CASE WHEN event_id % 9 <> 4 THEN event_type END AS event_type,
+           CASE WHEN event_id % 9 = 4 THEN 'no UTF-8' ELSE '' END AS reasons,
+           CASE WHEN event_id % 9 = 4 THEN event_type || chr(65533) ELSE event_type END AS repaired
     FROM events
 """)
-def q_field_alias(spark, sf_dir):
-    return decode(
-        event_messages(spark, sf_dir), strings(["event_id", "user", "event_type"]),
-        field_aliases={"user_id": "user"},
-    )
+def q_not_utf8(spark, sf_dir):
+    # Every ninth message has a byte in its text that no UTF-8 has.
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    text = F.to_json(F.struct("user_id", F.concat("event_type", F.lit("~")).alias("event_type")))
+    begin, end = (F.encode(F.substring_index(text, "~", n), "UTF-8") for n in (1, -1))
+    broken = F.when(F.col("event_id") % 9 == 4, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    messages = events.select(F.col("event_id").alias("offset"), F.concat(begin, broken, end).alias("value"))
+    schema = strings(["user_id", "event_type"])
+    good, bad = split_valid(messages, {"no UTF-8": is_utf8(F.col("value"))})
+    rows = decode(good, schema, keep=["offset"]).withColumn("reasons", F.lit("")).unionByName(
+        bad.select("offset", F.array_join("reasons", ",").alias("reasons")), allowMissingColumns=True)
+    repaired = decode(messages, schema, keep=["offset"], repair_utf8=True).select(
+        "offset", F.col("event_type").alias("repaired"))
+    return rows.join(repaired, "offset")
 
 
 def damaged_messages(spark, sf_dir):
@@ -301,14 +325,11 @@ def published_users(spark, sf_dir, folder) -> Topic:
 """)
 def q_created_users(spark, sf_dir):
     folder = runs.fresh_folder(spark, "created-users")
-    query = jobs.users_to_table(
-        spark, published_users(spark, sf_dir, folder), f"{folder}/users", f"{folder}/checkpoints",
-        field_aliases={"postcode": "post_code"}, key_expr={"id": key_of_email()},
-        available_now=True,
-    )
-    runs.run_bounded(query, None)
+    runs.run_bounded(jobs.users_to_table(
+        spark, published_users(spark, sf_dir, folder), f"{folder}/checkpoints",
+        field_aliases={"postcode": "post_code"}, key_expr={"id": key_of_email()}, available_now=True), None)
     database = f"{USER_DATABASE}_{uuid.uuid4().hex}"
-    jobs.save_created_users(spark, f"{folder}/users", f"{folder}/table", database=database)
+    jobs.save_created_users(spark, f"{folder}/checkpoints", f"{folder}/table", database=database)
     return spark.table(f"{database}.{USER_TABLE}").select(*CREATED_USER_FIELDS)
 
 
@@ -319,15 +340,54 @@ def q_created_users(spark, sf_dir):
 """)
 def q_users_without_key(spark, sf_dir):
     folder = runs.fresh_folder(spark, "users-without-key")
-    query = jobs.users_to_table(
-        spark, published_users(spark, sf_dir, folder), f"{folder}/users", f"{folder}/checkpoints",
-        available_now=True,
-    )
-    runs.run_bounded(query, None)
-    return jobs.created_users(f"{folder}/users").rejected(spark).select(
+    runs.run_bounded(jobs.users_rejected(
+        spark, published_users(spark, sf_dir, folder), f"{folder}/users", f"{folder}/checkpoints", available_now=True), None)
+    schema = f"{CREATED_USER.simpleString()[7:-1].replace(':', ' ')}, reasons array<string>"
+    return read_batches(spark, f"{folder}/users", schema, "rejected").select(
         "id", "email", "post_code", F.array_join("reasons", ",").alias("reasons"))
 
 
+# The lines of responses as a reader of lines sees them; every seventh lacks its city.
+@check(f"""
+    SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN email END AS email,
+           CASE WHEN c_custkey % 7 <> 0 THEN address END AS address,
+           CASE WHEN c_custkey % 7 <> 0 THEN postcode END AS postcode,
+           CASE WHEN c_custkey % 7 = 0 THEN 'location.city' END AS missing,
+           CASE WHEN c_custkey <= (SELECT max(c_custkey) FROM customer) // 2 THEN 0 ELSE 1 END AS batch
+    FROM ({USERS_SQL})
+""")
+def q_responses_published(spark, sf_dir):
+    folder = runs.fresh_folder(spark, "responses")
+    topic = Topic(path=f"{folder}/topics")
+    payloads = user_payloads(spark, sf_dir, null_fields=False)
+    half = payloads.agg(F.max("c_custkey")).head()[0] // 2
+    for part in (F.col("c_custkey") <= half, F.col("c_custkey") > half):
+        # What arrives, and a run on the checkpoint of the one before.
+        payloads.filter(part).select("raw").write.mode("append").text(f"{folder}/arrived")
+        runs.run_bounded(jobs.publish_responses(
+            spark, f"{folder}/arrived", topic, f"{folder}/checkpoints", rejected=f"{folder}/rejected", available_now=True), None)
+    good = decode(read_topic(spark, USER_TOPIC, path=topic.path, stream=False, with_batch=True), strings(USER_FIELDS), keep=["batch_id"]).select(
+        F.split_part("phone", F.lit("-"), F.lit(2)).cast("long").alias("c_custkey"), "email", "address", "postcode",
+        F.lit(None).cast("string").alias("missing"), F.col("batch_id").alias("batch"))
+    bad = spark.read.parquet(f"{folder}/rejected")
+    return good.unionByName(bad.select(
+        F.get_json_object("raw", "$.results[0].name.last").cast("long").alias("c_custkey"),
+        F.array_join("missing", ",").alias("missing"), F.col("batch_id").cast("long").alias("batch")), allowMissingColumns=True)
+
+
+@check(f"""
+    SELECT * FROM (VALUES {", ".join(f"('{f}', {f != 'post_code' and f != 'id'}, {f not in ('postcode', 'dob')})"
+                                     for f in sorted({*USER_FIELDS, *CREATED_USER_FIELDS}))}) f(field, in_messages, in_contract),
+        LATERAL (SELECT CASE WHEN in_messages THEN count(*) ELSE 0 END AS messages,
+                        CASE WHEN in_messages THEN CASE WHEN field = 'postcode' THEN 'BIGINT' ELSE 'STRING' END END AS type
+                 FROM customer)
+""")
+def q_drift_report(spark, sf_dir):
+    topic = published_users(spark, sf_dir, runs.fresh_folder(spark, "drift"))
+    messages = read_topic(spark, topic.name, path=topic.path, stream=False)
+    return drift_report(messages, CREATED_USER).drop("nulls")
+
+
 @check(f"""
     SELECT CAST(NULL AS VARCHAR) AS id, first_name, last_name, gender, address,
            CAST(NULL AS VARCHAR) AS post_code, email, username, registered_date, phone, picture
@@ -345,11 +405,19 @@ def q_user_documents(spark, sf_dir):
 
 # --- targets --------------------------------------------------------------
 
-EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+LATEST_BY = ["ts", "event_id"]
+
+
+def event_stream(spark, folder, **options):
+    """The events of the topic in ``folder`` as typed rows."""
+    messages = read_topic(spark, "events", path=f"{folder}/topics", options=options)
+    return decode(messages, strings(EVENT_FIELDS)).select(
+        *[F.col(f.split()[0]).cast(f.split()[1]) for f in EVENT_SCHEMA.split(", ")])
 
 
-def replayed_events(spark, sf_dir, folder, sink, times: int = 1) -> None:
-    """Publish the events, then stream them into the sink in about four micro-batches.
+def replayed_events(spark, sf_dir, folder, run, times: int = 1) -> None:
+    """Publish the events, then stream them in about four micro-batches with ``run`` (stream).
 
     Further ``times`` go on with the same checkpoint.
     """
@@ -358,80 +426,129 @@ def replayed_events(spark, sf_dir, folder, sink, times: int = 1) -> None:
     publish(events, "events", path=f"{folder}/topics", options={"maxRecordsPerFile": str(share)})
     size = spark.read.format("binaryFile").load(f"{folder}/topics").agg(F.sum("length")).head()[0]
     for _ in range(times):
-        messages = read_topic(
-            spark, "events", path=f"{folder}/topics",
-            options={"maxBytesPerTrigger": str(-(-size // 4))},
-        )
-        names = [f.split()[0] for f in EVENT_SCHEMA.split(", ")]
-        rows = decode(messages, strings(names)).select(
-            *[F.col(f.split()[0]).cast(f.split()[1]) for f in EVENT_SCHEMA.split(", ")])
-        runs.run_bounded(runs.start(
-            rows, "events", sink, target=folder, checkpoint_root=f"{folder}/checkpoints",
-            available_now=True,
-        ), None)
+        runs.run_bounded(run(event_stream(spark, folder, maxBytesPerTrigger=str(-(-size // 4)))), None)
+
+
+def appending(folder):
+    return lambda rows: runs.start(
+        rows, "events", append_sink(f"{folder}/target"), target=folder, checkpoint_root=f"{folder}/checkpoints", available_now=True)
+
+
+def keeping_latest(folder):
+    return lambda rows: keep_latest(
+        rows, "latest", "user_id", LATEST_BY, target="state", checkpoint_root=f"{folder}/checkpoints", available_now=True)
 
 
 LATEST_SQL = """
-    SELECT user_id, event_id, event_type, value FROM (
+    SELECT event_id, ts, user_id, event_type, value, props FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
         FROM events) WHERE place = 1
 """
-LATEST_FIELDS = ["user_id", "event_id", "event_type", "value"]
 
 
 @check(LATEST_SQL)
 def q_latest(spark, sf_dir):
-    events = table(spark, sf_dir, "events").drop("props")
-    return latest_per_key(events, "user_id", ["ts", "event_id"]).select(*LATEST_FIELDS)
+    return latest_per_key(table(spark, sf_dir, "events"), "user_id", LATEST_BY)
 
 
-def keyed_events(spark, folder) -> KeyedTable:
-    schema = spark.createDataFrame([], EVENT_SCHEMA).schema
-    return KeyedTable(f"{folder}/users", schema, "user_id", ["ts", "event_id"], buckets=8)
+def kept_events(spark, folder):
+    return latest_rows(spark, f"{folder}/checkpoints", "latest", EVENT_SCHEMA, "user_id", LATEST_BY)
 
 
 @check(LATEST_SQL)
 def q_upsert_latest(spark, sf_dir):
     folder = runs.fresh_folder(spark, "upsert")
-    events = keyed_events(spark, folder)
-    replayed_events(spark, sf_dir, folder, events.sink)
-    return events.read(spark).select(*LATEST_FIELDS)
+    replayed_events(spark, sf_dir, folder, keeping_latest(folder))
+    return kept_events(spark, folder)
 
 
 @check(LATEST_SQL)
 def q_upsert_compacted(spark, sf_dir):
-    folder = runs.fresh_folder(spark, "compacted")
-    events = keyed_events(spark, folder)
-
-    def sink(batch, batch_id, run):
-        events.sink(batch, batch_id, run)
-        if batch_id == 1:
-            events.compact(spark)
-
-    replayed_events(spark, sf_dir, folder, sink)
-    return events.read(spark).select(*LATEST_FIELDS)
+    # Stopped after the odd events; the next start goes on with the state that was kept, with the even ones and some odd again.
+    folder = runs.fresh_folder(spark, "upsert-again")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string"))
+    for part in (F.col("event_id") % 2 == 1, (F.col("event_id") % 2 == 0) | (F.col("event_id") % 3 == 0)):
+        publish(events.filter(part), "events", path=f"{folder}/topics")
+        runs.run_bounded(keeping_latest(folder)(event_stream(spark, folder)), None)
+    return kept_events(spark, folder)
 
 
-@check("SELECT event_id, user_id, event_type, value FROM events")
+@check("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_stream_append(spark, sf_dir):
     folder = runs.fresh_folder(spark, "append")
-    replayed_events(spark, sf_dir, folder, append_sink(f"{folder}/target"), times=2)
-    return read_batches(spark, f"{folder}/target", EVENT_SCHEMA).select(
-        "event_id", "user_id", "event_type", "value")
+    replayed_events(spark, sf_dir, folder, appending(folder), times=2)
+    return read_batches(spark, f"{folder}/target", EVENT_SCHEMA).select(*EVENT_FIELDS)
 
 
 @check("SELECT user_id, event_type FROM events")
 def q_subset(spark, sf_dir):
     folder = runs.fresh_folder(spark, "subset")
-    replayed_events(spark, sf_dir, folder, append_sink(f"{folder}/target"))
+    replayed_events(spark, sf_dir, folder, appending(folder))
     return read_batches(spark, f"{folder}/target", EVENT_SCHEMA).select("user_id", "event_type")
 
 
-@check("SELECT doc_id, text, lang FROM documents")
+def quarters(spark, sf_dir, folder) -> None:
+    """Publish the events in four files, the first quarter of the ids first."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string"))
+    for quarter in range(4):
+        publish(events.filter(F.col("event_id") % 4 == quarter).coalesce(1), "events", path=f"{folder}/topics")
+
+
+@check("""
+    SELECT event_id % 4 AS batch_id, count(*) FILTER (WHERE event_type <> 'click' AND value > 10) AS good,
+           count(*) FILTER (WHERE event_type = 'click' OR value <= 10) AS rejected
+    FROM events GROUP BY ALL
+""")
+def q_batch_counts(spark, sf_dir):
+    folder = runs.fresh_folder(spark, "counts")
+    quarters(spark, sf_dir, folder)
+    rows = tagged(event_stream(spark, folder, maxFilesPerTrigger="1"), {
+        "no click": F.col("event_type") != "click", "large": F.col("value") > 10})
+    query = appending(folder)(rows)
+    runs.run_bounded(query, None)
+    told = runs.batches(spark, query)
+    # What was written must be what was counted.
+    kept = read_batches(spark, f"{folder}/target", EVENT_SCHEMA).groupBy("batch_id").agg(F.count("*").alias("good"))
+    return told.join(kept, "batch_id").filter(F.col("counts")["good"] == F.col("good")).select(
+        "batch_id", "good", F.col("counts")["rejected"].alias("rejected"))
+
+
+@check("""
+    SELECT event_id % 4 AS batch_id, count(*) AS rows, TRUE AS in_own_interval FROM events GROUP BY ALL
+""")
+def q_interval_batches(spark, sf_dir):
+    folder = runs.fresh_folder(spark, "interval")
+    quarters(spark, sf_dir, folder)
+    query = runs.start(
+        event_stream(spark, folder, maxFilesPerTrigger="1"), "events", append_sink(f"{folder}/target"),
+        target=folder, checkpoint_root=f"{folder}/checkpoints", every="2 seconds")
+    runs.run_batches(query, 3)
+    # A batch starts when an interval of the clock does, or late in it if the one before took longer.
+    ticks = runs.batches(spark, query).withColumn("tick", F.floor(F.unix_millis("started") / 2000))
+    return ticks.select("batch_id", "rows", (F.count("*").over(Window.partitionBy("tick")) == 1).alias("in_own_interval"))
+
+
+@check("""
+    SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // (SELECT (count(*) + 4) // 5 FROM events) AS batch_id
+    FROM events
+""")
+def q_paced(spark, sf_dir):
+    folder = runs.fresh_folder(spark, "paced")
+    events = store_numbered(table(spark, sf_dir, "events"), LATEST_BY, f"{folder}/numbered")
+    share = -(-events.count() // 5)
+    topic = Topic("events", path=f"{folder}/topics")
+    for last in (2, 4):  # the second start goes on where the first was stopped
+        query = jobs.publish_paced(events, topic, f"{folder}/checkpoints", per_batch=share)
+        runs.run_batches(query, last)
+    return decode(read_topic(spark, "events", path=topic.path, stream=False, with_batch=True), strings(["event_id"]), keep=["batch_id"]).select(
+        F.col("event_id").cast("long").alias("event_id"), "batch_id")
+
+
+@check("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def q_csv_roundtrip(spark, sf_dir):
     path = f"{runs.fresh_folder(spark, 'csv')}/documents"
-    export_csv(table(spark, sf_dir, "documents"), path, ["doc_id", "text", "lang"])
-    return read_csv_export(spark, path, "doc_id long, text string, lang string")
+    export_csv(table(spark, sf_dir, "documents"), path, ["doc_id", "text", "lang", "source", "n_chars"])
+    return read_csv_export(spark, path, "doc_id long, text string, lang string, source string, n_chars long")
 
 
 @check("SELECT page_id, url, html FROM pages")
@@ -441,8 +558,62 @@ def q_landing(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@check("""
+    SELECT doc_id, source, text || ' again' AS text FROM documents WHERE source = (SELECT min(source) FROM documents)
+    UNION ALL
+    SELECT doc_id, source, text FROM documents WHERE source IS DISTINCT FROM (SELECT min(source) FROM documents)
+""")
+def q_landing_by_source(spark, sf_dir):
+    path = f"{runs.fresh_folder(spark, 'landing-by-source')}/documents"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    first = docs.agg(F.min("source")).head()[0]
+    one, others = docs.filter(F.col("source") == first), docs.filter(~F.col("source").eqNullSafe(first))
+    # The first source is fetched twice, and the others land between.
+    for landing in (one, others, one.withColumn("text", F.concat("text", F.lit(" again")))):
+        land_raw(landing, path, by="source")
+    return spark.read.schema("doc_id long, text string, source string").parquet(path).select("doc_id", "source", "text")
+
+
 # --- pages ----------------------------------------------------------------
 
+CHARSETS = ["windows-1252", "utf-8", "iso-8859-1", "utf-16", "koi8-r"]
+
+
+@check("""
+    SELECT page_id, ['windows-1252', 'utf-8', 'iso-8859-1', 'utf-16', 'koi8-r'][page_id % 5 + 1] AS charset,
+           CASE WHEN page_id % 5 = 4 THEN regexp_replace(replace(html, 'charset="utf-8"', 'charset="utf-8"'), '[^\x00-\x7F]', 'ж', 'g')
+                WHEN page_id % 5 = 3 THEN html
+                ELSE replace(html, 'charset="utf-8"', 'charset="' ||
+                    ['windows-1252', 'utf-8', 'iso-8859-1'][page_id % 5 + 1] || '"') END AS html
+    FROM pages
+""")
+def q_page_files(spark, sf_dir):
+    folder = runs.fresh_folder(spark, "page-files")
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.element_at(F.array(*map(F.lit, CHARSETS)), (F.col("page_id") % 5 + 1).cast("int")).alias("charset"), "html")
+    # Three charsets are what a page declares, one is seen by its mark, and of the last only the response's header tells.
+    said = F.when(F.col("charset") == "koi8-r", F.regexp_replace("html", "[^\\x00-\\x7F]", "ж")).when(
+        F.col("charset") == "utf-16", F.col("html")).otherwise(
+        F.replace("html", F.lit('charset="utf-8"'), F.concat(F.lit('charset="'), "charset", F.lit('"'))))
+
+    def encode(batches):
+        for batch in batches:
+            batch["content"] = [text.encode(name) for text, name in zip(batch["html"], batch["charset"])]
+            yield batch[["name", "content"]]
+
+    files = pages.select(F.format_string("%d.html", "page_id").alias("name"), "charset", said.alias("html")).mapInPandas(
+        encode, "name string, content binary")
+    store_bytes(files, f"{folder}/pages").write.parquet(f"{folder}/listed")
+    header = read_html_files(spark, f"{folder}/pages", glob="*.html").select("url").filter(page_of("url") % 5 == 4).withColumn(
+        "charset", F.lit("KOI8-R"))
+    return read_html_files(spark, f"{folder}/pages", glob="*.html", charsets=header).select(
+        page_of("url").alias("page_id"), "charset", "html")
+
+
+def page_of(url):
+    return F.regexp_extract(url, r"(\d+)\.html$", 1).cast("long")
+
+
 AD = ("div", "ad")
 # The first element of a name, as RE2 sees it; the test pages nest none of these.
 ARTICLE_SQL = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"

@@ -8,22 +8,23 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.operators.articles import NEWS, Layout, checked, listed_articles, told_articles
 from feedloom.operators.decode import decode
 from feedloom.operators.enrich import enrich
 from feedloom.operators.flatten import complete, flatten_users
 from feedloom.operators.stats import numeric_stats, scaled
-from feedloom.operators.validity import is_uuid, split_valid
+from feedloom.operators.validity import is_uuid, split_valid, tagged
 from feedloom.schemas import (
     ARTICLE_FIELDS, CREATED_USER, ENVELOPE, USER_DATABASE, USER_FIELDS, USER_TABLE, USER_TOPIC,
 )
 from feedloom.sinks.batches import append_sink, batch_folder
 from feedloom.sinks.csv import export_csv
-from feedloom.sinks.keyed import KeyedTable, create_namespace, replace_table
+from feedloom.sinks.catalog import create_namespace, replace_table
+from feedloom.sources.pages import read_payloads
 from feedloom.sources.topics import publish, read_topic
 from feedloom.live import runs
+from feedloom.live.state import keep_latest, latest_rows
 
 # Arrival order of messages; it decides which of two writes of a key is the later one.
 ARRIVAL = ["timestamp", "partition", "offset"]
@@ -65,63 +66,119 @@ def publish_users(
         flat.unpersist()
 
 
-def created_users(path: str, buckets: int = 64) -> KeyedTable:
-    """The keyed user table: a valid UUID as key, the last arrival wins."""
-    schema = T.StructType([*CREATED_USER.fields, *[ENVELOPE[name] for name in ARRIVAL]])
-    return KeyedTable(
-        path, schema, "id", ARRIVAL, rules={"id is no UUID": is_uuid(F.col("id"))}, buckets=buckets
-    )
+def publish_responses(
+    spark: SparkSession, path: str, topic: Topic, checkpoint_root: str, *, rejected: str | None = None,
+    every: str | None = None, available_now: bool = False, options: Mapping[str, str] | None = None,
+):
+    """API responses that arrive as files of lines, published as flat user messages batch after batch.
+
+    Lines that lack a field go to ``rejected``, if named. A batch played again replaces itself in a topic
+    of files; Kafka gets it again, as from any writer of batches.
+    """
+    def sink(batch: DataFrame, batch_id: int, run: str) -> None:
+        publish_users(batch, topic, rejected, batch_id=batch_id, run=run)
+
+    return runs.start(
+        read_payloads(spark, path, stream=True, options=dict(options or {})), "publish_responses", sink,
+        target=topic.name, checkpoint_root=checkpoint_root, every=every, available_now=available_now)
+
+
+def publish_paced(
+    numbered: DataFrame, topic: Topic, checkpoint_root: str, *, per_batch: int, every: str | None = None,
+):
+    """Publish records in the order of their ``position``, ``per_batch`` with each batch, a batch ``every`` so often.
+
+    ``numbered`` is what ``positions.store_numbered`` gives; a batch reads its part of the files alone. The pace is that of
+    Spark's source of counted batches: a start on the same checkpoint goes on where the last one ended, and the
+    query runs on, without records in the end, until it is stopped (``runs.run_batches``).
+    """
+    columns = [name for name in numbered.columns if name != "position"]
+    pace = numbered.sparkSession.readStream.format("rate-micro-batch").option("rowsPerBatch", per_batch).option(
+        "numPartitions", 1).load()
+
+    def sink(batch: DataFrame, batch_id: int, run: str) -> None:
+        first, last = batch.agg(F.min("value"), F.max("value")).head()
+        if first is not None:
+            now = numbered.filter(F.col("position").between(first, last)).select(*columns)
+            publish(now, topic.name, path=topic.path, options=topic.options, batch_id=batch_id, run=run)
+
+    return runs.start(pace, "publish_paced", sink, target=topic.name, checkpoint_root=checkpoint_root, every=every)
+
+
+def created_users(spark: SparkSession, checkpoint_root: str) -> DataFrame:
+    """The user table that ``users_to_table`` keeps, as of its last batch."""
+    return latest_rows(spark, checkpoint_root, "users_to_table", _KEPT_USER, "id", ARRIVAL).select(
+        *CREATED_USER.fieldNames())
+
+
+_KEPT_USER = T.StructType([*CREATED_USER.fields, *[ENVELOPE[name] for name in ARRIVAL]])
+
+
+def user_rules() -> dict[str, Column]:
+    return {"no id": F.col("id").isNotNull(), "id is no UUID": is_uuid(F.col("id"))}
 
 
 def users_to_table(
     spark: SparkSession,
     topic: Topic,
-    path: str,
     checkpoint_root: str,
     *,
     field_aliases: Mapping[str, str] | None = None,
     key_expr: Mapping[str, Column] | None = None,
+    sink: runs.BatchSink | None = None,
+    target: str = "state",
+    every: str | None = None,
     available_now: bool = False,
-) -> StreamingQuery:
-    """User messages to the keyed table, batch after batch.
+):
+    """User messages to a table of one row for each valid key, the last arrival: ``created_users``.
 
     The messages carry no ``id`` and spell ``post_code`` differently: without
-    ``key_expr`` every row is rejected for want of a key, without
-    ``field_aliases`` the post code is NULL.
+    ``key_expr`` no row has a key, without ``field_aliases`` the post code is NULL. Rows without a valid key are
+    left to ``users_rejected``. ``sink`` gets the rows that each batch changes, to replace them by key in ``target``.
     """
     rows = decode(
         topic.stream(spark), CREATED_USER,
         field_aliases=field_aliases, key_expr=key_expr, keep=ARRIVAL,
     )
-    return runs.start(
-        rows, "users_to_table", created_users(path).sink,
-        target=path, checkpoint_root=checkpoint_root, available_now=available_now,
-    )
+    good, _ = split_valid(rows, user_rules())
+    return keep_latest(
+        good, "users_to_table", "id", ARRIVAL, target=target, checkpoint_root=checkpoint_root, sink=sink,
+        every=every, available_now=available_now)
 
 
-def compact_users(spark: SparkSession, path: str, buckets: int = 64, retire: bool = True) -> None:
-    """Fold the changes of the keyed table into a snapshot of ``buckets``.
+def users_rejected(
+    spark: SparkSession,
+    topic: Topic,
+    path: str,
+    checkpoint_root: str,
+    *,
+    field_aliases: Mapping[str, str] | None = None,
+    key_expr: Mapping[str, Column] | None = None,
+    every: str | None = None,
+    available_now: bool = False,
+):
+    """The user messages that ``users_to_table`` leaves out, appended with their reasons; a query beside it.
 
-    With ``retire`` the folders that the snapshot before this one made needless
-    go; run it at intervals longer than any reader takes.
+    ``runs.batches`` tells how many of each batch were good and how many rejected.
     """
-    table = created_users(path, buckets)
-    table.compact(spark)
-    if retire:
-        table.retire(spark)
+    rows = decode(
+        topic.stream(spark), CREATED_USER, field_aliases=field_aliases, key_expr=key_expr, keep=ARRIVAL)
+    bad = tagged(rows, user_rules()).filter(F.size("reasons") > 0)
+    return runs.start(
+        bad, "users_rejected", append_sink(path), target=path, checkpoint_root=checkpoint_root,
+        every=every, available_now=available_now)
 
 
 def save_created_users(
-    spark: SparkSession, path: str, location: str, *, database: str = USER_DATABASE, table: str = USER_TABLE,
-    buckets: int = 64,
+    spark: SparkSession, checkpoint_root: str, location: str, *, database: str = USER_DATABASE, table: str = USER_TABLE,
 ) -> None:
-    """The keyed table as it stands, as the catalog table users query, below ``location``.
+    """The user table as it stands, as the catalog table users query, below ``location``.
 
     A table of that name that lies elsewhere is refused.
     """
     create_namespace(spark, database, location)
     replace_table(
-        created_users(path, buckets).read(spark), f"{database}.{table}", CREATED_USER, f"{location}/{table}")
+        created_users(spark, checkpoint_root), f"{database}.{table}", CREATED_USER, f"{location}/{table}")
 
 
 def users_to_documents(
@@ -132,7 +189,7 @@ def users_to_documents(
     *,
     every: str = "5 seconds",
     available_now: bool = False,
-) -> StreamingQuery:
+):
     """User messages appended as they are, a batch every 5 seconds."""
     return runs.start(
         decode(topic.stream(spark), CREATED_USER), "users_to_documents", append_sink(path),

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from feedloom.operators.validity import split_valid
+from feedloom.functions.once import with_once
+from feedloom.operators.validity import reasons
 
 
 def batch_folder(path: str, batch_id: int, run: str) -> str:
@@ -17,20 +18,17 @@ def batch_folder(path: str, batch_id: int, run: str) -> str:
 def append_sink(path: str, rules: Mapping[str, Column] | None = None):
     """Sink for ``runs.start``: each micro-batch is a folder that a replay replaces.
 
-    With ``rules``, rows that break one go to ``<path>/rejected`` with their
-    reasons, the others to ``<path>/rows``.
+    With ``rules``, or for a stream that ``validity.tagged`` has marked, rows that break one are
+    kept as of kind "rejected" with their reasons, the others as "rows". Both are written in one pass.
     """
     def write(batch: DataFrame, batch_id: int, run: str) -> None:
-        if not rules:
-            batch.write.mode("overwrite").parquet(batch_folder(f"{path}/rows", batch_id, run))
-            return
-        batch = batch.persist()
-        try:
-            good, bad = split_valid(batch, rules)
-            good.write.mode("overwrite").parquet(batch_folder(f"{path}/rows", batch_id, run))
-            bad.write.mode("overwrite").parquet(batch_folder(f"{path}/rejected", batch_id, run))
-        finally:
-            batch.unpersist()
+        if rules:
+            batch = with_once(batch, "reasons", reasons(rules))
+        kind = F.lit("rows")
+        if "reasons" in batch.columns:
+            kind = F.when(F.size("reasons") > 0, "rejected").otherwise("rows")
+        batch.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind").parquet(
+            batch_folder(path, batch_id, run))
     return write
 
 
@@ -39,10 +37,10 @@ def read_batches(
 ) -> DataFrame:
     """All rows appended so far, with ``run`` and ``batch_id``; none before the first batch."""
     full = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))
-    full = full.add("run", T.StringType()).add("batch_id", T.LongType())
+    full = full.add("run", T.StringType()).add("batch_id", T.LongType()).add("kind", T.StringType())
     try:
-        return spark.read.schema(full).parquet(f"{path}/{kind}")
+        return spark.read.schema(full).parquet(path).filter(F.col("kind") == kind).drop("kind")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return spark.createDataFrame([], full).drop("kind")

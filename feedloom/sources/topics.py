@@ -22,11 +22,13 @@ def read_topic(
     path: str | None = None,
     stream: bool = True,
     options: Mapping[str, str] | None = None,
+    with_batch: bool = False,
 ) -> DataFrame:
     """Messages of one or more topics from the start; a checkpointed stream resumes instead.
 
     ``options`` go to the reader, e.g. ``kafka.bootstrap.servers``,
-    ``maxOffsetsPerTrigger`` or, for files, ``maxBytesPerTrigger``.
+    ``maxOffsetsPerTrigger`` or, for files, ``maxBytesPerTrigger``. Of a topic of files
+    ``with_batch`` also tells the ``run`` and ``batch_id`` that published a message.
     """
     topics = [topics] if isinstance(topics, str) else list(topics)
     reader = spark.readStream if stream else spark.read
@@ -41,7 +43,7 @@ def read_topic(
     return (
         reader.schema(folders).options(**(options or {})).option("basePath", path)
         .parquet(f"{path}/topic={names}")
-        .select(*ENVELOPE.fieldNames())
+        .select(*ENVELOPE.fieldNames(), *(["run", "batch_id"] if with_batch else []))
     )
 
 
