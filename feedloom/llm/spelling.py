@@ -28,6 +28,8 @@ SYMBOLS = 6
 _HELD = 1 << 17
 #: Keys made together, about.
 _KEYS = 1 << 18
+#: Words of more letters are sent as a number with their keys, and fetched where they meet.
+LONG = 64
 
 # Runs of A-Z, a-z and U+00C0 to U+00FF in UTF-8; bytes.lower() changes A-Z alone.
 _RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")
@@ -112,7 +114,7 @@ def _keys(words: list[str], symbols: int, base: bool = True) -> tuple[np.ndarray
     # Without one of several equal neighbours a word is the same, so only the last of them goes.
     last = np.ones(len(symbol), bool)
     last[:-1] = symbol[:-1] != symbol[1:]
-    last[offsets[1:] - 1] = True
+    last[offsets[1:][length > 0] - 1] = True
     gone = np.flatnonzero(last)
     before = total[gone] - total[offsets[word[gone]]]
     after = total[offsets[word[gone] + 1]] - total[gone + 1]
@@ -126,6 +128,7 @@ def _keys(words: list[str], symbols: int, base: bool = True) -> tuple[np.ndarray
 
 
 def _sent(symbols: int, base: bool):
+    """Rows (word, sent, n) -> a row for each of the word's keys, with what is sent."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column(0).to_pylist()
@@ -134,24 +137,41 @@ def _sent(symbols: int, base: bool):
             while start < len(words):
                 end = max(start + 1, int(np.searchsorted(size, size[start] + (_KEYS if base else 2 * _KEYS // symbols), "right")) - 1)
                 place, key, own = _keys(words[start:end], symbols, base)
+                part = batch.slice(start, end - start).select(["sent", "n"])
                 for at in range(0, len(place), _KEYS):
-                    rows = batch.slice(start, end - start).take(pa.array(place[at:at + _KEYS]))
+                    rows = part.take(pa.array(place[at:at + _KEYS]))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(key[at:at + _KEYS].view(np.int64)), rows.column(0), rows.column(1), pa.array(own[at:at + _KEYS]),
-                    ], ["key", "word", "n", "own"])
+                    ], ["key", "sent", "n", "own"])
                 start = end
     return send
 
 
+def _meeting(words: DataFrame, symbols: int) -> DataFrame:
+    """(own, sent, n, kept, kept_n): what ``words`` (word, sent, n) send, beside the words that have its keys."""
+    kind = f"key long, sent {words.schema['sent'].dataType.simpleString()}, n long, own boolean"
+    sent = words.mapInArrow(_sent(symbols, False), kind)
+    kept = words.mapInArrow(_sent(symbols, True), kind).select(
+        "key", F.col("sent").alias("kept"), F.col("n").alias("kept_n"))
+    return sent.join(kept, "key").drop("key")
+
+
 def near_pairs(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """(word, n, near, near_n) of all words of ``words`` (word, n) at exactly one edit; each pair once."""
-    kind = "key long, word string, n long, own boolean"
-    sent = words.select("word", "n").mapInArrow(_sent(symbols, False), kind)
-    kept = words.select("word", "n").mapInArrow(_sent(symbols, True), kind).select(
-        "key", F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return sent.join(kept, "key").where(
+    size, number = F.char_length("word"), F.xxhash64("word")
+    short = _meeting(words.where(size <= LONG).select("word", F.col("word").alias("sent"), "n"), symbols).select(
+        "own", F.col("sent").alias("word"), "n", F.col("kept").alias("near"), F.col("kept_n").alias("near_n"))
+    # Words of LONG letters are in both; a pair with a longer word is told here alone.
+    long = words.where(size >= LONG)
+    met = _meeting(long.select("word", number.alias("sent"), "n"), symbols).where("sent <> kept")
+    far = (
+        met.join(long.select(number.alias("sent"), "word"), "sent")
+        .join(long.select(number.alias("kept"), F.col("word").alias("near")), "kept")
+        .where((F.char_length("word") > LONG) | (F.char_length("near") > LONG))
+        .select("own", "word", "n", "near", F.col("kept_n").alias("near_n")))
+    return short.unionByName(far).where(
         (~F.col("own") | (F.col("word") < F.col("near"))) & (F.levenshtein("word", "near", 1) == 1)
-    ).select("word", "n", "near", "near_n")
+    ).drop("own")
 
 
 def variants(words: DataFrame, symbols: int = SYMBOLS, *, least_ratio: int = 2) -> DataFrame:

@@ -1,0 +1,112 @@
+import hashlib
+import random
+import zlib
+from itertools import groupby
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.llm.merkle import folded, leaf_of, manifest, placed, siblings_digest
+from feedloom.llm.queries import op13_manifest
+
+from .conftest import docs_of, odd_rows
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row):
+    return h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (row[f] for f in FIELDS)])
+
+
+def tree(leaves, fanout):
+    """(root, siblings of each leaf by level as (left, right))."""
+    paths, level, at = [[] for _ in leaves], list(leaves), list(range(len(leaves)))
+    while len(level) > 1:
+        for n, place in enumerate(at):
+            first = place // fanout * fanout
+            paths[n].append(("".join(level[first:place]), "".join(level[place + 1:first + fanout])))
+            at[n] = place // fanout
+        level = [h(*level[p:p + fanout]) for p in range(0, len(level), fanout)]
+    return level[0], paths
+
+
+def expected(rows, fanout):
+    order = sorted(rows, key=lambda r: (r["lang"] is not None, (r["lang"] or "").encode(), r["doc_id"] is not None, r["doc_id"] or 0, leaf(r)))
+    groups = [(k, list(g)) for k, g in groupby(order, key=lambda r: r["lang"])]
+    trees = [tree([leaf(r) for r in g], fanout) for _, g in groups]
+    if not trees:
+        return []
+    root, above = tree([t[0] for t in trees], fanout)
+    return sorted(
+        (str(r["doc_id"]), str(k), leaf(r), sub, root, own + up)
+        for (k, g), (sub, paths), up in zip(groups, trees, above) for r, own in zip(g, paths))
+
+
+def found(docs, **options):
+    got = manifest(docs, FIELDS, "lang", "doc_id", **options).collect()
+    return sorted((str(r.id), str(r.group), r.leaf, r.subroot, r.root, [tuple(s) for s in r.path]) for r in got)
+
+
+def many():
+    rng = random.Random(2)
+    langs = [None, "", "en", "zé", "z", "Ä", *(f"l{i}" for i in range(7))]
+    rows = [(i, f"text {i}", rng.choice(langs[2:] + ["en"] * 9), f"s{i % 4}") for i in range(150)]
+    return rows + [(500, "alone", None, None), (None, "x", "", "a"), (None, "y", "", "a"), (None, "y", "", "a"), (3, "", "en", None), (3, "", "en", None)]
+
+
+@pytest.mark.parametrize("fanout, levels", [(2, 8), (2, 2), (3, 2), (5, 1), (16, 3)])
+def test_equals_trees_built_level_by_level(spark, fanout, levels):
+    docs = docs_of(spark, many(), 5)
+    assert found(docs, fanout=fanout, levels=levels) == expected([r.asDict() for r in docs.collect()], fanout)
+
+
+def test_odd_rows(spark, odd):
+    assert found(odd, levels=3) == expected([r.asDict() for r in odd.collect()], 2)
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 3, 4, 5, 17])
+def test_sizes(spark, count):
+    docs = docs_of(spark, [(i, "t", "en", "a") for i in range(count)], 2)
+    assert found(docs, levels=2) == expected([r.asDict() for r in docs.collect()], 2)
+
+
+def test_a_change_is_found_and_nothing_else(spark):
+    docs = docs_of(spark, many())
+    changed = F.coalesce(F.col("doc_id") % 5 == 0, F.lit(False))
+    now = leaf_of([F.when(changed, F.upper("text")).otherwise(F.col("text")) if f == "text" else F.col(f) for f in FIELDS])
+    rows = manifest(docs, FIELDS, "lang", "doc_id", keep={"now": now}, levels=2)
+    got = rows.select("id", (folded(F.col("now"), F.col("path")) == F.col("root")).alias("whole"),
+                      siblings_digest(F.col("path")).alias("proof"), "path").collect()
+    assert len(got) == len(many())
+    assert all(r.whole == (r.id is None or r.id % 5 != 0) for r in got)
+    assert all(r.proof == h(*[a + b for a, b in r.path]) for r in got)
+
+
+def test_places_of_a_hot_group_and_equal_rows(spark):
+    """Half of the rows are one group, and equal; no range holds twice the mean, and places are gapless."""
+    rows = spark.createDataFrame([("hot" if i % 2 else f"g{i % 7}", 1 if i % 2 else i) for i in range(8000)], "g string, v long").repartition(8)
+    ranged = placed(rows, ["g"], ["v"])
+    got = ranged.collect()
+    hot = sorted(r.pos for r in got if r.g == "hot")
+    assert hot == list(range(4000)) and all(r.total == 4000 for r in got if r.g == "hot")
+    tied = rows.withColumn("t", F.monotonically_increasing_id()).repartitionByRange(8, "g", "v", "t")
+    assert max(r["count"] for r in tied.groupBy(F.spark_partition_id()).count().collect()) < 2 * 8000 / 8
+
+
+def test_query(spark, sf_dir):
+    docs = [r.asDict() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    wanted = {d: (a, b, c, path) for d, _, a, b, c, path in expected(docs, 2)}
+    got = op13_manifest(spark, sf_dir).collect()
+    assert len(got) == len(docs) and not all(r.verified for r in got)
+    for r, row in ((r, next(d for d in docs if d["doc_id"] == r.doc_id)) for r in got):
+        a, b, c, path = wanted[str(r.doc_id)]
+        assert (r.leaf, r.subroot, r.root) == (a, b, c) and r.proof_sha256 == h(*[x + y for x, y in path])
+        hit = zlib.crc32(str(r.doc_id).encode()) % 7 == 0 and row["n_chars"] is not None
+        at = leaf(row | {"n_chars": row["n_chars"] + 1}) if hit else a
+        for left, right in path:
+            at = h(left, at, right)
+        assert (r.folded_root, r.verified) == (at, not hit)
