@@ -211,15 +211,18 @@ def hex_of(column: str):
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with one of each component: the least id, among equal ids the least hash of the text.
 
-    Null ids come last. All columns stay, whatever their names.
+    Null ids come last. Of rows of equal id and text the least stays, by all columns in their order, nulls first, so columns must be
+    of kinds that can be ordered. All columns stay, whatever their names. An empty table gives no rows.
     """
     found = near_duplicates(docs, id_col, text_col, **options)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_key")
-    keep = found.groupBy("component").agg(F.min(order).alias("head")).select("head.id", "head.text_key")
+    keep = found.groupBy("component").agg(F.min(order).alias("head")).select("head.*")
     packed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.struct("*").alias("row"))
-    # Shuffled once: the join and what drops repeated rows are dealt by the same key.
-    kept = packed.join(
-        keep.select(F.col("id").alias("keep_id"), F.col("text_key").alias("keep_key")),
-        F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("text_key") == F.col("keep_key")), "left_semi",
-    )
-    return kept.groupBy("id", "text_key").agg(F.first("row").alias("row")).select("row.*")
+    # Keys without nulls, so that the join and what drops repeated rows are dealt alike: rows are shuffled once.
+    kind, key = docs.schema[id_col].dataType, ["none", "known", "text_key"]
+
+    def keyed(df: DataFrame, *columns: str) -> DataFrame:
+        return df.select(
+            F.col("id").isNull().alias("none"), F.coalesce("id", F.lit("0").cast(kind)).alias("known"), "text_key", *columns)
+
+    return keyed(packed, "row").join(keyed(keep), key, "left_semi").groupBy(*key).agg(F.min("row").alias("row")).select("row.*")

@@ -85,3 +85,22 @@ def test_links_of_full_lists(spark, bits):
 
 def test_empty(none):
     assert simhash.near_duplicates(none).collect() == [] and simhash.one_of_each(none).collect() == []
+
+
+def test_one_of_each_shuffles_rows_once(spark, odd):
+    """Whole rows pass one exchange; of rows that repeat id and text the least one stays."""
+    from feedloom.llm.simhash import one_of_each
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = one_of_each(odd)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    # Operators above the whole rows' scan, from the top down to it.
+    exchanges = [n for n, line in enumerate(lines) if "Exchange hashpartitioning(none" in line]
+    semi = next(n for n, line in enumerate(lines) if "LeftSemi" in line)
+    assert len(exchanges) == 2 and min(exchanges) > semi  # one for each side of the join, none above it
+    rows = [(1, "a b c d", None, "z"), (1, "a b c d", "en", "z"), (1, "a b c d", "en", "a"), (None, "x y", "fr", "q"), (None, "x y", "de", "q")]
+    got = one_of_each(docs_of(spark, rows, 4), shingle=4, max_bits=0).collect()
+    assert sorted((str(r.doc_id), str(r.lang), r.source) for r in got) == [("1", "None", "z"), ("None", "de", "q")]
