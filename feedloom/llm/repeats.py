@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from feedloom.llm import words
+from feedloom.llm.coding import ascending, planes, ranges, reascending, unplanes, within
 from feedloom.llm.common import bytes_of, modest, saved, slices
 
 #: Bytes of text in a chunk, or one longer text.
@@ -32,25 +33,6 @@ _SECOND = np.uint64(0xA0761D6478BD642F)
 _ANSWER = "stage int, chunk long, shard int, told binary"
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Integers with all their first bytes first, then all second ones and so on: equal bytes lie together."""
-    return np.ascontiguousarray(values.astype(values.dtype.newbyteorder("<"))).view(np.uint8).reshape(len(values), -1).T.tobytes()
-
-
-def unplanes(content: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(content, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
-def ascending(values: np.ndarray) -> bytes:
-    """Ascending unsigned numbers as planes of their steps."""
-    return planes(np.diff(values, prepend=values.dtype.type(0)))
-
-
-def reascending(content: bytes, kind: str) -> np.ndarray:
-    return np.cumsum(unplanes(content, kind), dtype=kind)
-
-
 def rolling(hashed: np.ndarray, size: int) -> np.ndarray:
     """The hash of each ``size`` words that follow each other."""
     if size == 1:
@@ -113,56 +95,45 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield chunk()
 
 
-def _dealt(hashed: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """(the values' order by shard and then value, (shard, start, end) of each shard that has some); ``hashed`` ascends."""
-    shard = (hashed % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    ends = np.searchsorted(shard[order], np.arange(shards + 1))
-    return order, [(s, a, b) for s, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a]
-
-
 class _Anchors:
-    """The blocks of a chunk: what it tells the shards, and which of its anchors are hits once they have answered."""
+    """The blocks of a chunk's texts, and its anchors by their distinct hashes."""
 
     def __init__(self, texts: Texts, window: int, shards: int):
-        self.block = window // 2
-        hashed, place, left = texts.looked_at(window)
-        self.hashed, self.left = hashed, left
-        probe = rolling(hashed, self.block)
-        inside = left[:len(probe)] >= self.block
-        is_anchor = inside & (place[:len(probe)] % self.block == 0)
-        self.at = np.flatnonzero(is_anchor)
-        found, self.place, count = np.unique(probe[inside], return_inverse=True, return_counts=True)
-        anchored = np.zeros(len(found), bool)
-        of = np.zeros(len(probe), np.int64)
-        of[inside] = self.place
-        self.place = of[self.at]
-        anchored[self.place] = True
-        # What occurs twice here is a hit already.
-        self.twice = count > 1
-        self.asked, self.others = np.flatnonzero(anchored), np.flatnonzero(~anchored)
-        # The shard is from the low part of a hash, what is told to it the high one; what else agrees is extended in vain.
-        self.order, self.spans = _dealt(found[self.asked], shards)
-        order, others = _dealt(found[self.others], shards)
-        self.found, self.asked, self.others = found >> np.uint64(32), self.asked[self.order], self.others[order]
-        self.other_spans = {s: (a, b) for s, a, b in others}
-
-    def questions(self) -> Iterator[tuple[int, bytes, bytes]]:
-        own = {s: (a, b) for s, a, b in self.spans}
-        for shard in sorted({*own, *self.other_spans}):
-            (a, b), (c, d) = own.get(shard, (0, 0)), self.other_spans.get(shard, (0, 0))
-            yield shard, ascending(self.found[self.asked[a:b]].astype("<u4")), ascending(self.found[self.others[c:d]].astype("<u4"))
+        self.window, self.shards = window, shards
+        self.hashed, place, self.left = texts.looked_at(window)
+        block = window // 2
+        self.probe = rolling(self.hashed, block)
+        self.inside = self.left[:len(self.probe)] >= block
+        self.at = np.flatnonzero(self.inside & (place[:len(self.probe)] % block == 0))
+        self.anchors = np.unique(self.probe[self.at])
+        self.spans = ranges(self.anchors, shards)
+
+    def _short(self, values: np.ndarray, shard: int) -> np.ndarray:
+        return within(values, shard, self.shards, 32).astype("<u4")
+
+    def questions(self) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+        """(shard, anchors, whether each is here twice, other blocks). Two blocks told alike are extended in vain at worst."""
+        every = np.sort(self.probe[self.inside])
+        again = every[1:] == every[:-1]
+        twice = np.isin(self.anchors, every[1:][again])
+        others = every[np.concatenate([np.ones(min(1, len(every)), bool), ~again])]
+        others = others[~np.isin(others, self.anchors, assume_unique=True)]
+        own, rest = ({k: (a, b) for k, a, b in spans} for spans in (self.spans, ranges(others, self.shards)))
+        for shard in sorted({*own, *rest}):
+            (a, b), (c, d) = own.get(shard, (0, 0)), rest.get(shard, (0, 0))
+            yield (shard, ascending(self._short(self.anchors[a:b], shard)), np.packbits(twice[a:b]).tobytes(),
+                   ascending(self._short(others[c:d], shard)))
 
     def candidates(self, told: dict[int, bytes]) -> np.ndarray:
         """Starts of the windows whose first anchor is a hit."""
-        hit = self.twice.copy()
+        hit = np.zeros(len(self.anchors), bool)
         for shard, a, b in self.spans:
-            hit[self.asked[a:b]] |= np.unpackbits(np.frombuffer(told[shard], np.uint8), count=b - a).astype(bool)
+            hit[a:b] = np.unpackbits(np.frombuffer(told[shard], np.uint8), count=b - a)
         # From behind the anchor before up to the anchor. With a window's words left it is in the same text.
-        at = self.at[hit[self.place]]
-        starts = np.sort((at[:, None] - np.arange(self.block)).ravel())
-        starts = starts[np.searchsorted(starts, 0):]
-        return starts[self.left[starts] >= 2 * self.block]
+        at = self.at[hit[np.searchsorted(self.anchors, self.probe[self.at])]]
+        starts = (at[:, None] - np.arange(self.window // 2 - 1, -1, -1)).ravel()
+        starts = starts[starts >= 0]
+        return np.sort(starts[self.left[starts] >= self.window])
 
 
 class _Windows:
@@ -170,50 +141,55 @@ class _Windows:
 
     def __init__(self, texts: Texts, window: int, shards: int, told: dict[int, bytes]):
         blocks = _Anchors(texts, window, shards)
-        self.at = blocks.candidates(told)
-        one = rolling(blocks.hashed, window)[self.at] if len(self.at) else np.zeros(0, np.uint64)
-        two = rolling(words.mix(blocks.hashed ^ _SECOND), window)[self.at] if len(self.at) else one
-        two = two >> np.uint64(32)
-        text = np.searchsorted(texts.first, self.at, "right") - 1
-        start = self.at - texts.first[text]
-        known = texts.ids.is_valid().to_numpy(zero_copy_only=False)[text]
-        doc = texts.ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[text]
-        order = np.lexsort((start, doc, known, two, one))
-        one, two, start, known, doc = (x[order] for x in (one, two, start, known, doc))
+        at = blocks.candidates(told)
+        known = texts.ids.is_valid().to_numpy(zero_copy_only=False)
+        doc = texts.ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        text = np.searchsorted(texts.first, at, "right") - 1
+        start = at - texts.first[text]
+        # Place in the chunk: texts of one id are one document.
+        rank = np.unique(np.stack([known.astype(np.int64), doc], 1), axis=0, return_inverse=True)[1].ravel() if len(doc) else doc
+        place = (rank[text] << 32) + start
+        if len(place) and (np.diff(place) < 0).any():
+            order = np.argsort(place, kind="stable")
+            at, text, start, place = at[order], text[order], start[order], place[order]
+        # A window is its two blocks; two hashes of them are told, of 64 and 32 bits.
+        one, two = blocks.probe[at], blocks.probe[at + window // 2]
+        one, two = words.chained(one, two), words.chained(two ^ _SECOND, one) >> np.uint64(32)
+        order = np.argsort(one, kind="stable")
+        if (two[order][1:] != two[order][:-1])[one[order][1:] == one[order][:-1]].any():
+            order = np.lexsort((place, two, one))
+        one, two, place = one[order], two[order], place[order]
         new = np.ones(len(one), bool)
         new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        self.first = np.flatnonzero(new)
-        self.of = np.cumsum(new) - 1
+        first = np.flatnonzero(new)
+        self.at, self.of = at[order], np.cumsum(new) - 1
         # Of equal windows in the chunk those that start where the first does stay with it.
-        lead = self.first[self.of] if len(one) else np.zeros(0, np.int64)
-        self.later = (known != known[lead]) | (doc != doc[lead]) | (start != start[lead])
-        self.order = order
-        self.one, self.two, self.start, self.known, self.doc = (x[self.first] for x in (one, two, start, known, doc))
-        self.dealt, self.spans = _dealt(self.one, shards)
+        self.later = place != place[first][self.of]
+        self.one, self.two, text = one[first], two[first], text[order][first]
+        self.start, self.known, self.doc = start[order][first], known[text], doc[text]
+        self.spans = ranges(self.one, shards)
 
-    def questions(self) -> Iterator[tuple[int, bytes, bytes]]:
+    def questions(self) -> Iterator[tuple[int, bytes, bytes, bytes]]:
         for shard, a, b in self.spans:
-            rows = self.dealt[a:b]
-            yield shard, ascending(self.one[rows].astype("<u8")), b"".join([
-                planes(self.two[rows].astype("<u4")), planes(self.start[rows].astype("<u4")),
-                planes(self.known[rows].astype("u1")), planes(self.doc[rows].astype("<i8"))])
+            yield shard, ascending(self.one[a:b].astype("<u8")), planes(self.two[a:b].astype("<u4")), b"".join([
+                planes(self.start[a:b].astype("<u4")), planes(self.known[a:b].astype("u1")), planes(self.doc[a:b].astype("<i8"))])
 
     def repeats(self, told: dict[int, bytes]) -> np.ndarray:
         """Starts of the windows that also start earlier."""
-        earlier = np.zeros(len(self.first), bool)
+        earlier = np.zeros(len(self.one), bool)
         for shard, a, b in self.spans:
-            earlier[self.dealt[a:b]] = np.unpackbits(np.frombuffer(told[shard], np.uint8), count=b - a).astype(bool)
-        return self.at[self.order[earlier[self.of] | self.later]] if len(self.at) else self.at
+            earlier[a:b] = np.unpackbits(np.frombuffer(told[shard], np.uint8), count=b - a)
+        return self.at[earlier[self.of] | self.later]
 
 
-def _rows(chunk: int, questions: Iterator[tuple[int, bytes, bytes]]) -> pa.Table:
-    shards, first, second = zip(*questions, strict=True) if (questions := list(questions)) else ((), (), ())
-    return pa.table({
-        "shard": pa.array(shards, pa.int32()), "chunk": pa.array([chunk] * len(shards), pa.int64()),
-        "first": pa.array(first, pa.binary()), "second": pa.array(second, pa.binary())})
+_QUESTION = "shard int, chunk long, first binary, second binary, third binary"
 
 
-_QUESTION = "shard int, chunk long, first binary, second binary"
+def _rows(chunk: int, questions: Iterator[tuple[int, bytes, bytes, bytes]]) -> pa.Table:
+    shards, *told = zip(*listed) if (listed := list(questions)) else ((), (), (), ())
+    return pa.table({
+        "shard": pa.array(shards, pa.int32()), "chunk": pa.array([chunk] * len(shards), pa.int64()),
+        **{name: pa.array(values, pa.binary()) for name, values in zip(("first", "second", "third"), told)}})
 
 
 def _told(rows: pa.Table, stage: int) -> dict[int, bytes]:
@@ -232,26 +208,30 @@ def _answers(rows: pa.Table, stage: int, told: list[np.ndarray]) -> pa.Table:
 
 
 def _find_hits(rows: pa.Table) -> pa.Table:
-    """Blocks told to a shard -> for each anchor of each chunk whether another chunk has it, as anchor or otherwise."""
+    """Blocks told to a shard -> for each anchor of each chunk whether it is anywhere else, as anchor or otherwise."""
     own = [reascending(x, "<u4") for x in rows["first"].to_pylist()]
-    every = np.sort(np.concatenate([*own, *[reascending(x, "<u4") for x in rows["second"].to_pylist()]]))
+    twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(o)).astype(bool) for x, o in zip(rows["second"].to_pylist(), own)]
+    every = np.sort(np.concatenate([*own, *[reascending(x, "<u4") for x in rows["third"].to_pylist()]]))
     again = every[1:][every[1:] == every[:-1]]  # a chunk tells each once
-    return _answers(rows, 1, [np.isin(x, again) for x in own])
+    found = np.searchsorted(again, np.concatenate(own))
+    hit = np.append(again, 0)[found] == np.concatenate(own) if len(again) else np.zeros(len(found), bool)
+    hit &= found < len(again)
+    return _answers(rows, 1, [h | t for h, t in zip(np.split(hit, np.cumsum([len(x) for x in own])[:-1]), twice)])
 
 
 def _find_earlier(rows: pa.Table) -> pa.Table:
     """Windows told to a shard -> for each of each chunk whether another chunk has it at an earlier place."""
-    parts: list[list[np.ndarray]] = [[], [], [], [], []]
-    for ones, rest in zip(rows["first"].to_pylist(), rows["second"].to_pylist()):
-        one = reascending(ones, "<u8")
-        n, at = len(one), 0
-        parts[0].append(one)
-        for kind, part in zip(("<u4", "<u4", "u1", "<i8"), parts[1:]):
+    one = [reascending(x, "<u8") for x in rows["first"].to_pylist()]
+    counts = [len(x) for x in one]
+    parts: list[list[np.ndarray]] = [[], [], []]
+    for n, rest in zip(counts, rows["third"].to_pylist()):
+        at = 0
+        for kind, part in zip(("<u4", "u1", "<i8"), parts):
             size = n * np.dtype(kind).itemsize
             part.append(unplanes(rest[at:at + size], kind))
             at += size
-    counts = [len(x) for x in parts[0]]
-    one, two, start, known, doc = map(np.concatenate, parts)
+    start, known, doc = map(np.concatenate, parts)
+    one, two = np.concatenate(one), np.concatenate([unplanes(x, "<u4") for x in rows["second"].to_pylist()])
     order = np.lexsort((start, doc, known, two, one))
     one, two, start, known, doc = (x[order] for x in (one, two, start, known, doc))
     new = np.ones(len(one), bool)
