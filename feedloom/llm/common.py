@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +20,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``; a local session may go without the setting."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master") != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="feedloom-llm-")
         spark.conf.set("spark.checkpoint.dir", shared)
@@ -34,6 +34,38 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``saved``, dealt by ``key`` into files, so that whatever joins or groups by it needs no shuffle of these rows.
+
+    The catalog gets a table of a name of its own, whose files are in the shared folder.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    table = f"feedloom_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    (
+        df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).format("parquet")
+        .option("compression", "zstd").option("path", path).saveAsTable(table)
+    )
+    return spark.table(table)
+
+
+def spread_join(rows: DataFrame, one: DataFrame, key: list[str], share: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``one``, which has one row for each key and in ``n`` the rows of that key at least.
+
+    Keys on more than a ``share``-th of all, of which there are fewer than ``share``, are broadcast, and their rows stay where they
+    are; the others are joined. So no key's rows have to meet in one task. Rows without a key in ``one`` go. Both sides are read
+    twice. Keys are not null.
+    """
+    total = one.agg(F.sum("n")).head()[0] or 0
+    is_hot = F.col("n") * share > total
+    columns = [name for name in one.columns if name not in (*key, "n")]
+    few = F.broadcast(one.where(is_hot).select(*key, F.struct(*columns).alias("_hot")))
+    beside = rows.join(few, key, "left")
+    near = beside.where("_hot IS NOT NULL").select(*rows.columns, "_hot.*")
+    far = beside.where("_hot IS NULL").drop("_hot").join(one.where(~is_hot).drop("n"), key)
+    return near.unionByName(far.select(*rows.columns, *columns))
+
+
 def modest(df: DataFrame, size: str = "8m") -> DataFrame:
     """Send rows to Python in batches of about ``size`` from now on, whatever the length of the texts."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

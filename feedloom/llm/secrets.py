@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from feedloom.llm.common import modest, saved, slices, strings
+from feedloom.llm.common import modest, saved, slices, spread_join, strings
 
 #: In the order of the listing of spans that begin together.
 KINDS = ("assign", "access", "hex", "owned")
@@ -76,9 +76,12 @@ def _spans_of(texts: list[str]) -> pa.Array:
 
 
 def _ownership(values: DataFrame) -> DataFrame:
-    """(value, owners, repositories) of rows (value, owner, repository); each step sums up before it deals out."""
-    by_owner = values.distinct().groupBy("value", "owner").agg(F.count("*").alias("repositories"))
-    return by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    """(value, owners, repositories, n) of rows (value, owner, repository), ``n`` of each value; each step sums up before
+    it deals out. A written table."""
+    by_repository = values.groupBy("value", "owner", "repository").agg(F.count("*").alias("n"))
+    by_owner = by_repository.groupBy("value", "owner").agg(F.count("*").alias("repositories"), F.sum("n").alias("n"))
+    return saved(by_owner.groupBy("value").agg(
+        F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("n").alias("n")), "secret-values")
 
 
 def _scanned(rows: DataFrame) -> DataFrame:
@@ -115,7 +118,8 @@ def find_secrets(
         _name(repository_col).alias("repository"), F.col(text_col).alias("text")))
     single = found.select("number", "owner", "repository", F.explode("spans").alias("span")).select(
         "number", "owner", "repository", "span.*")
-    judged = single.join(_ownership(single.select("value", "owner", "repository")), "value") \
+    # A copied example may be any share of the spans.
+    judged = spread_join(single, _ownership(single.select("value", "owner", "repository")), ["value"]) \
         .withColumn("owned", F.col("owners") <= max_owners).where((F.col("kind") != OWNED) | F.col("owned"))
     lists = judged.groupBy("number").agg(F.array_sort(F.collect_list(
         F.struct("start", "kind", "end", "owners", "repositories", "owned"))).alias("spans"))
@@ -149,7 +153,7 @@ def without_secrets(
     single = found.select("number", "owner", "repository", F.explode("spans").alias("span")).select(
         "number", "owner", "repository", "span.value", "span.kind")
     owned = _ownership(single.select("value", "owner", "repository")).where(F.col("owners") <= max_owners)
-    live = single.where(F.col("kind") == OWNED).select("number", "value").distinct().join(owned, "value") \
+    live = spread_join(single.where(F.col("kind") == OWNED).select("number", "value").distinct(), owned, ["value"]) \
         .groupBy("number").agg(F.collect_list("value").alias("live"))
     judge = F.exists("spans", lambda span: span["kind"] == OWNED)
     sure = found.where(~judge).select("row", "spans", F.array().cast("array<long>").alias("live"))
