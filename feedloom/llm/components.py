@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from feedloom.llm.common import saved
+from feedloom.llm.common import saved, spread_join
 
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("least"))
+    least = saved(both.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("n")), "stars-least")
     return (
-        both.join(least, "a").where("b > a")
+        spread_join(both, least, ["a"]).where("b > a")
         .select(F.col("b").alias("a"), F.least("a", "least").alias("b")).distinct()
     )
 
 
 def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    moved = edges.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    edges = saved(edges, "stars-large")
+    least = saved(edges.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("n")), "stars-least")
+    moved = spread_join(edges, least, ["a"]).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.union(least.select("a", F.col("least").alias("b"))).distinct()
 
 
@@ -31,8 +32,8 @@ def stars(edges: DataFrame) -> DataFrame:
     """(a, b): each node of ``edges`` (a, b: long) with the least node of its component, itself left out.
 
     A round is written to the shared folder; the number of rounds grows with the
-    logarithm of the longest chain. Nodes with many links are pre-aggregated, and
-    their rows are joined to one row each.
+    logarithm of the longest chain. Links are summed up to a row a node in each task first, and the links of
+    a node with very many stay where they are.
     """
     edges = saved(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),

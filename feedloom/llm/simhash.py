@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from feedloom.llm.common import modest, saved, slices, utf8
+from feedloom.llm.common import modest, saved, slices, spread_join, utf8
 from feedloom.llm.components import stars
 
 #: A list with more fingerprints is cut into parts of this size, compared pair by pair in tasks of their own.
@@ -195,12 +195,14 @@ def near_duplicates(
     Repeated rows give repeated rows. Columns other than the two named are not read.
     """
     marked = saved(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    marks = saved(marked.groupBy("fingerprint").agg(F.min("id").alias("least")), "simhash-distinct")
+    marks = saved(marked.groupBy("fingerprint").agg(F.min("id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
     rooted = stars(links(marks.select("fingerprint"), max_bits))
-    placed = marks.join(rooted, marks.fingerprint == rooted.a, "left").select(
-        "fingerprint", "least", F.coalesce("b", "fingerprint").alias("component"))
-    heads = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    return marked.join(placed.join(heads, "component").select("fingerprint", "component", "component_id"), "fingerprint") \
+    placed = saved(marks.join(rooted, marks.fingerprint == rooted.a, "left").select(
+        "fingerprint", "least", "n", F.coalesce("b", "fingerprint").alias("component")), "simhash-placed")
+    heads = saved(placed.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "simhash-heads")
+    # A component may have any share of the fingerprints, a fingerprint any share of the rows.
+    told = saved(spread_join(placed.select("fingerprint", "component", F.col("n").alias("rows")), heads, ["component"]), "simhash-told")
+    return spread_join(marked, told.withColumnRenamed("rows", "n"), ["fingerprint"]) \
         .select("id", "text_key", "fingerprint", "component", "component_id")
 
 
