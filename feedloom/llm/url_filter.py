@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedloom.llm.common import saved
+from feedloom.llm.common import saved, spread_join
 
 #: A host with more than this share of all pages is hot; there are at most 1 / HOT of them.
 HOT = 1 / 1000
@@ -64,16 +64,22 @@ def propagated(
     arcs = links.select(F.explode(F.array(
         F.struct(F.lit("trust").alias("kind"), F.col("a").alias("host"), F.col("b").alias("to"), "n"),
         F.struct(F.lit("distrust").alias("kind"), F.col("b").alias("host"), F.col("a").alias("to"), "n"))).alias("arc")).select("arc.*")
-    totals = arcs.groupBy("kind", "host").agg(F.sum("n").alias("total"))
-    arcs = saved(
-        arcs.join(totals, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("share")), "host-arcs")
+    totals = saved(arcs.groupBy("kind", "host").agg(F.sum("n").alias("total"), F.count("*").alias("n")), "host-totals")
+    arcs = saved(spread_join(arcs.withColumnRenamed("n", "links"), totals, ["kind", "host"]).select(
+        "kind", "host", "to", (F.col("links") / F.col("total")).alias("share")), "host-arcs")
+    # Hubs are few by arithmetic: what they send on is broadcast to their links, which stay where they are.
+    count = totals.agg(F.sum("n")).head()[0] or 0
+    hubs = F.broadcast(totals.where(F.col("n") > HOT * count).select("kind", "host"))
+    of_hubs, of_others = arcs.join(hubs, ["kind", "host"], "left_semi"), arcs.join(hubs, ["kind", "host"], "left_anti")
     # What a host has got in all, and of that in the last round.
     scores = saved(seeds.select(F.explode(F.array(*[
         F.struct(F.lit(kind).alias("kind"), "host", ((1 - damping) * F.col(kind)).alias("score")) for kind in ("trust", "distrust")
     ])).alias("s")).select("s.*").where("score > 0").withColumn("last", F.col("score")), "host-scores")
     while open_ := [r.kind for r in scores.where(F.col("last") > tolerance * F.col("score")).select("kind").distinct().collect()]:
-        sent = scores.where(F.col("kind").isin(open_) & (F.col("last") > 0)).join(arcs, ["kind", "host"]).select(
-            "kind", F.col("to").alias("host"), (damping * F.col("last") * F.col("share")).alias("score"))
+        last = scores.where(F.col("kind").isin(open_) & (F.col("last") > 0)).select("kind", "host", "last")
+        sent = last.join(of_others, ["kind", "host"]).unionByName(
+            of_hubs.join(F.broadcast(last.join(hubs, ["kind", "host"], "left_semi")), ["kind", "host"])
+        ).select("kind", F.col("to").alias("host"), (damping * F.col("last") * F.col("share")).alias("score"))
         scores = saved(
             scores.select("kind", "host", "score", F.lit(0.0).alias("last")).union(sent.withColumn("last", F.col("score")))
             .groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("last").alias("last")), "host-scores")
