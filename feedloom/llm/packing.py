@@ -54,10 +54,14 @@ def _pieces(path: str, capacity: int, end_id: int, groups: int, added: bool):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = encoder(path, added=added)
+        # How often each salt came here: equal rows are dealt one after another to different groups, whichever is the first.
+        seen: dict[int, int] = {}
         for batch in batches:
             for part in slices(batch, 2, 1 << 22):
                 rows = []
                 for place, (salt, ids) in enumerate(zip(part.column(1).to_pylist(), library.encode(strings(part.column(2))))):
+                    again = seen[salt] = seen.get(salt, -1) + 1
+                    salt += again
                     ids += end
                     total = len(ids) // 4
                     for number, start in enumerate(range(0, total, capacity)):
