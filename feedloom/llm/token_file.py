@@ -48,11 +48,15 @@ def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> b
         ranks = rank_of[ids]
     else:
         table = ranks = np.zeros(0, "<u4")
-    code = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    # No rank needs more bytes than the last.
+    width = max(1, -(-max(0, len(table) - 1).bit_length() // 8))
+    code = np.zeros(len(ranks), np.uint8)
+    for place in range(1, width):
+        code += ranks >= 1 << 8 * place
     fours = np.zeros((-(-len(code) // 4), 4), np.uint8)
     fours.reshape(-1)[:len(code)] = code
-    control = (fours << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    data = ranks.view(np.uint8).reshape(-1, 4)[_WRITTEN[code]]
+    control = fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6
+    data = ranks.view(np.uint8).reshape(-1, 4)[:, :width][_WRITTEN[:, :width][code]]
     none = np.array([x is None for x in doc_ids], np.uint8)
     return b"".join([
         _HEAD.pack(MAGIC, len(doc_ids), len(ids), len(table)), table.tobytes(),
@@ -83,9 +87,9 @@ def decode(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     if total and ends[-1] != len(data) or int(lengths.sum()) != total:
         raise ValueError("token file is cut short")
     found = data[starts].astype(np.uint32) if total else np.zeros(0, np.uint32)
-    wide = np.arange(total)
+    wide = np.flatnonzero(sizes > 1)
     for place in range(1, 4):
-        wide = wide[sizes[wide] > place]
+        wide = wide[sizes[wide] > place] if place > 1 else wide
         found[wide] |= data[starts[wide] + place].astype(np.uint32) << np.uint32(8 * place)
     return [None if n else d for d, n in zip(doc_ids.tolist(), none)], lengths, table[found]
 
@@ -133,14 +137,16 @@ def write_tokens(
 ) -> DataFrame:
     """Write every document's ids, ``end_id`` last, to ``folder`` in ascending order of id; (file, docs, ids) of each file.
 
-    Files are in the order of their names. Null ids come first, equal ids in the order of their texts; null text
+    Files are in the order of their names. Null ids come first, equal ids in the order of their texts' hashes; null text
     counts as empty. The ids must be integers. Only texts are shuffled, once; ids go straight from the tokenizer
     to the file. ``added`` is that of ``tokens.Encoder``.
     """
     fs.FileSystem.from_uri(folder)[0].create_dir(fs.FileSystem.from_uri(folder)[1], recursive=True)
-    rows = modest(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = modest(docs).select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+    # Rows that share an id, null too, are spread by their texts.
     return saved(
-        rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+        rows.repartitionByRange("id", "text_key").sortWithinPartitions("id", "text_key", "text").drop("text_key")
         .mapInArrow(_writer(tokenizer, folder, end_id, file_ids, added), "file string, docs long, ids long"),
         "token-files",
     )
@@ -165,9 +171,14 @@ def read_tokens(folder: str, files: DataFrame) -> DataFrame:
         files.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.tokens").load(folder)
         .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
     )
-    # One row a file, whatever the number of documents.
-    before = files.select("file", (
-        F.sum("ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))).alias("before"))
+    # A file's stretch is in its name: stretches are summed up first, then the files of each.
+    stretch = F.substring_index("file", "-", 1)
+    sums = files.groupBy(stretch.alias("stretch")).agg(F.sum("ids").alias("ids"))
+    sums = sums.select("stretch", F.coalesce(F.sum("ids").over(Window.orderBy("stretch").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
+    before = files.withColumn("stretch", stretch).select("file", "stretch", F.coalesce(F.sum("ids").over(
+        Window.partitionBy("stretch").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("within")
+    ).join(sums, "stretch").select("file", (F.col("earlier") + F.col("within")).alias("before"))
     found = content.mapInArrow(_read, "file string, id long, place long, n_tokens long, ids_crc32 long")
     return found.join(before, "file").select(
         "id", (F.coalesce("before", F.lit(0)) + F.col("place")).alias("start"), "n_tokens", "ids_crc32")

@@ -23,7 +23,6 @@ _PIECE = re.compile(
     rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_SPACE}0-9{_LETTERS}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 _PLAIN = re.compile(rf"[\x00-\x7f{_LETTERS}{_SIGNS}]*")
-_WORD = re.compile(rf" [{_LETTERS}]+")
 
 
 class Encoder:
@@ -33,7 +32,7 @@ class Encoder:
     Without it special tokens are encoded as other text.
     """
 
-    #: Pieces kept at once, about; beyond it the worker starts anew.
+    #: Pieces kept at once, about: a young generation and the one before, from which what is met again is taken over.
     KEPT = 1_000_000
     #: Characters looked at together.
     _CHUNK = 1 << 19
@@ -48,6 +47,7 @@ class Encoder:
         self._added = [t.content for t in self._library.get_added_tokens_decoder().values()] if added else []
         self.KEPT = kept or self.KEPT
         self._ids: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, at = [], 0
@@ -61,16 +61,22 @@ class Encoder:
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._ids) > self.KEPT:
-            self._ids.clear()
-        known, out, waiting = self._ids.get, [], []
+        if len(self._ids) > self.KEPT // 2:
+            self._old, self._ids = self._ids, {}
+        known, before, out, waiting = self._ids.get, self._old.get, [], []
         for text in texts:
             if not text.isascii() and not _PLAIN.fullmatch(text) or any(token in text for token in self._added):
                 out += self._whole([text])
                 continue
             pieces = _PIECE.findall(text)
             found = list(map(known, pieces))
-            gaps = [(n, pieces[n]) for n, ids in enumerate(found) if ids is None]
+            gaps = []
+            for n in self._missing(found):
+                ids = before(pieces[n])
+                if ids is None:
+                    gaps.append((n, pieces[n]))
+                else:
+                    found[n] = self._ids[pieces[n]] = ids
             if gaps:
                 waiting.append((len(out), found, gaps))
             out.append(b"" if gaps else b"".join(found))
@@ -81,11 +87,24 @@ class Encoder:
             out[place] = b"".join(found)
         return out
 
+    @staticmethod
+    def _missing(found: list[bytes | None]) -> list[int]:
+        places, at = [], -1
+        try:
+            while True:
+                at = found.index(None, at + 1)
+                places.append(at)
+        except ValueError:
+            return places
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        words = [p for p in new if _WORD.fullmatch(p)]
+        words, rest = [], []
+        for piece in new:
+            # A piece that begins with a space and a letter is a space and letters.
+            (words if len(piece) > 1 and piece[0] == " " and piece[1].isalpha() else rest).append(piece)
         # Words that begin with a space fall apart again where they were joined.
         rows = [words[at:at + 256] for at in range(0, len(words), 256)]
         for row, got in zip(rows, self._library.encode_batch(["".join(r) for r in rows], add_special_tokens=False)):
@@ -96,7 +115,6 @@ class Encoder:
             for word, end in zip(row, ends.tolist()):
                 self._ids[word] = ids[start:end]
                 start = end
-        rest = [p for p in new if not _WORD.fullmatch(p)]
         self._ids.update(zip(rest, self._whole(rest)))
 
 
@@ -106,7 +124,7 @@ _ENCODERS: dict[tuple[str, int, bool], Encoder] = {}
 def encoder(path: str, kept: int = Encoder.KEPT, added: bool = False) -> Encoder:
     """The worker's encoder, which goes from task to task with the ids of about ``kept`` pieces at most.
 
-    Beyond that it starts anew. A piece with its ids takes some 200 bytes.
+    A piece with its ids takes some 200 bytes.
     """
     if (path, kept, added) not in _ENCODERS:
         _ENCODERS[path, kept, added] = Encoder(path, kept, added)
