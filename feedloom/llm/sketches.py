@@ -7,11 +7,12 @@ texts are, how much of one is in the other, and how many shingles there are.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from feedloom.llm import words
@@ -134,7 +135,8 @@ def edited(text: str, after: str) -> str:
 
 
 _ROW = ["id", "n_chars", "edited_sha256", "sketch", "edited_sketch", "near_edited", "near_next"]
-_COMPLETE, _HEAD, _TAIL = 0, 1, 2
+#: Stretches of the order of ids for each shuffle partition.
+STRETCHES = 4
 
 
 def _beside(texts: list[bytes], k: int, shingle: int) -> list[tuple]:
@@ -154,33 +156,46 @@ def _rows(ids: pa.Array, found: list[tuple]) -> list[pa.Array]:
     return [ids, *[pa.array(values, kind) for values, kind in zip(columns, kinds)]]
 
 
-def _walk(k: int, shingle: int):
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition, held = TaskContext.get().partitionId(), None
+def _stretched(firsts: list[tuple]):
+    """Rows (id, text_key, text) -> with their stretch; the first of a stretch also goes to the one before, as what follows its last."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = [(i is not None, i, k) if i is not None else (False, k) for i, k in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            stretch = [bisect_right(firsts, place) - 1 for place in places]
+            again = [n for n, (place, at) in enumerate(zip(places, stretch)) if firsts[at] == place]
+            rows = pa.array([*range(batch.num_rows), *again], pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                pa.array([*stretch, *[(stretch[n] - 1) % len(firsts) for n in again]], pa.int32()),
+                pa.array([False] * batch.num_rows + [True] * len(again)), *[column.take(rows) for column in batch.columns],
+            ], ["stretch", "follows", *batch.schema.names])
+    return deal
 
-        def end(row: pa.RecordBatch, role: int) -> pa.RecordBatch:
-            blank = [pa.nulls(1, kind) for kind in (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
-            return pa.RecordBatch.from_arrays(
-                [row.column(0), *blank, pa.array([role], pa.int32()), pa.array([partition], pa.int32()), row.column(1)],
-                [*_ROW, "role", "partition", "text"])
 
+def _walk(k: int, shingle: int):
+    """Rows (stretch, follows, id, text) in order -> a row for each that does not follow, held against the next."""
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretch, ended, held = None, False, None
         for batch in batches:
-            for part in slices(batch, 1, 1 << 21):
-                if held is None:
-                    yield end(part.slice(0, 1), _HEAD)
-                else:
-                    part = pa.Table.from_batches([held, part]).combine_chunks().to_batches()[0]
-                found = _beside(utf8(part.column(1)), k, shingle)
-                if found:
-                    count = len(found)
-                    yield pa.RecordBatch.from_arrays(
-                        [*_rows(part.column(0).slice(0, count), found), pa.array([_COMPLETE] * count, pa.int32()),
-                         pa.array([partition] * count, pa.int32()), pa.nulls(count, part.column(1).type)],
-                        [*_ROW, "role", "partition", "text"])
-                # A copy, so that the rest of the batch can go.
-                held = part.take(pa.array([part.num_rows - 1]))
-        if held is not None:
-            yield end(held, _TAIL)
+            for part in slices(batch, 3, 1 << 21):
+                at = part.column(0).to_numpy()
+                edges = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), part.num_rows]
+                for a, b in zip(edges, edges[1:]):
+                    run = part.slice(a, b - a).select(["follows", "id", "text"])
+                    if at[a] != stretch:
+                        stretch, ended, held = at[a], False, None
+                    if ended:
+                        continue
+                    # One of what follows is enough, the others are its copies.
+                    run = run.slice(0, pc.index(run.column(0), True).as_py() + 1 or run.num_rows)
+                    if held is not None:
+                        run = pa.Table.from_batches([held, run]).combine_chunks().to_batches()[0]
+                    found = _beside(utf8(run.column(2)), k, shingle)
+                    if found:
+                        yield pa.RecordBatch.from_arrays(_rows(run.column(1).slice(0, len(found)), found), _ROW)
+                    ended = run.column(0)[run.num_rows - 1].as_py()
+                    # A copy, so that the rest of the batch can go.
+                    held = run.take(pa.array([run.num_rows - 1]))
     return walk
 
 
@@ -190,26 +205,24 @@ def compared_with_next(
     """Each text's sketch beside that of its edited form and of the next text, in ascending order of id.
 
     (id, n_chars, edited_sha256, sketch, edited_sketch, near_edited, near_next). After the last comes the first;
-    null ids come first, equal ids in the order of their texts, null text counts as empty. Texts are shuffled once,
-    by ranges; only the first and the last of each range are joined with those of its neighbours.
+    null ids come first, equal ids in the order of their texts' hashes, null text counts as empty, repeated rows come out each.
+    Texts are shuffled once, by stretches of that order: what begins a stretch is known before, one row each, so that it is
+    sent along to the stretch before. An id on any share of the rows is in several stretches.
     """
-    rows = modest(docs).select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = modest(docs).select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")) \
+        .select("id", F.xxhash64("text").alias("text_key"), "text")
     kind = rows.schema["id"].dataType.simpleString()
-    columns = f"id {kind}, n_chars long, edited_sha256 string, sketch binary, edited_sketch binary, near_edited double, near_next double"
-    found = saved(
-        rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-        .mapInArrow(_walk(k, shingle), f"{columns}, role int, partition int, text string"), "sketches")
-    heads = found.where(F.col("role") == _HEAD).select("partition", F.col("text").alias("after"))
-    # One number a range that has rows.
-    order = sorted(row.partition for row in heads.select("partition").collect())
-    follows = docs.sparkSession.createDataFrame(list(zip(order, order[1:] + order[:1])), "partition int, follower int")
-    tails = found.where(F.col("role") == _TAIL).select("id", "text", "partition").join(follows, "partition")
-    seams = tails.join(heads.withColumnRenamed("partition", "follower"), "follower").select("id", "text", "after")
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(utf8(batch.column(1)), utf8(batch.column(2)))
-            yield pa.RecordBatch.from_arrays(
-                _rows(batch.column(0), [_beside([a, b], k, shingle)[0] for a, b in pairs]), _ROW)
-
-    return found.where(F.col("role") == _COMPLETE).select(*_ROW).union(seams.mapInArrow(close, columns))
+    count = STRETCHES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.select("id", "text_key").repartitionByRange(count, "id", "text_key")
+    least = saved(ranged.groupBy(F.spark_partition_id().alias("range")).agg(F.min(F.struct("id", "text_key")).alias("least")), "sketch-ranges")
+    # ``count`` rows at most.
+    firsts = sorted({(True, r.id, r.text_key) if r.id is not None else (False, r.text_key) for r in least.select("least.*").collect()})
+    if not firsts:
+        return docs.sparkSession.createDataFrame([], f"id {kind}, {_FOUND}")
+    dealt = rows.mapInArrow(_stretched(firsts), f"stretch int, follows boolean, id {kind}, text_key long, text string")
+    return (
+        dealt.repartition("stretch").sortWithinPartitions("stretch", "follows", "id", "text_key").drop("text_key")
+        .mapInArrow(_walk(k, shingle), f"id {kind}, {_FOUND}"))
+
+
+_FOUND = "n_chars long, edited_sha256 string, sketch binary, edited_sketch binary, near_edited double, near_next double"
