@@ -6,8 +6,13 @@ counts and p the probability after the failure arc, an arc of state s weighs (c(
 failure arc m / (c(s) + m), and the root (c(w) + 1) / (N + V + 1): smoothing with a Dirichlet prior of strength m.
 
 The automaton grows with the corpus, so no task holds it. Texts lie in blocks; a block asks for the counts of
-its distinct n-grams, which are summed where an n-gram is dealt to. Each block then has just the arcs it needs
-and finds the weights of all its tokens at once, order by order, which equals the walk from state to state.
+its distinct n-grams, which are summed where an n-gram is dealt to. An n-gram can be in another block only if the two
+that it begins and ends with are, so the orders are asked one after another, and of each only such n-grams; the
+others' counts are the block's own. Each block then has just the arcs it needs and finds the weights of all its
+tokens at once, order by order, which equals the walk from state to state.
+
+Words are told apart by 64-bit hashes. Longer n-grams are asked for by 40 bits within a shard of a bounded number of
+n-grams: one in some 500,000 may get another's count besides its own, at any size of the corpus.
 """
 
 from __future__ import annotations
@@ -16,16 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.llm import words
-from feedloom.llm.common import bytes_of, modest, saved, slices
+from feedloom.llm.coding import ascending, planes, ranges, reascending, unplanes, within
+from feedloom.llm.common import bucketed, bytes_of, modest, saved, slices
 
 #: Bytes of text in a block.
 BLOCK = 1 << 22
-#: n-grams that are summed together, about.
-SHARD = 1 << 20
+#: Tokens of the corpus for each shard of an order's n-grams, about.
+SHARD = 1 << 21
 
 _END = np.uint64(0x5EED0FE4D0F7E875)
 
@@ -54,7 +61,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column(0))
         out = pa.RecordBatch.from_arrays([
             pa.array([number], pa.int64()), ids, pa.array([train.tobytes()]), pa.array([counts.astype("<u4").tobytes()]),
-            pa.array([vocabulary.astype("<u8").tobytes()]), pa.array([place.astype("<u4").tobytes()]),
+            pa.array([ascending(vocabulary)]), pa.array([zstandard.compress(planes(place.astype("<u4")), 1)]),
             pa.array([len(tokens)], pa.int64()), pa.array([int(counts[train > 0].sum())], pa.int64()),
         ], ["block", "ids", "train", "counts", "vocabulary", "places", "tokens", "train_tokens"])
         number += 1
@@ -72,10 +79,6 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-def _sequence(vocabulary: bytes, places: bytes) -> np.ndarray:
-    return np.frombuffer(vocabulary, "<u8")[np.frombuffer(places, "<u4")]
-
-
 def _ngrams(tokens: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For 1 to ``order`` words: (hash of the n-gram that ends at each token, whether there is one).
 
@@ -96,46 +99,93 @@ def _ngrams(tokens: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.nda
         yield out, inside
 
 
-def _listed(tokens: np.ndarray, order: int, shards: int) -> Iterator[tuple]:
-    """For each order (n-grams there are, distinct hashes, place of each among them, order by shard, ends of shards)."""
-    for n, (hashed, inside) in enumerate(_ngrams(tokens, order), 1):
-        distinct, place = np.unique(hashed[inside], return_inverse=True)
-        shard = (words.mix(distinct) % np.uint64(shards)).astype(np.int64)
-        by_shard = np.argsort(shard, kind="stable")
-        yield n, inside, distinct, place, by_shard, np.searchsorted(shard[by_shard], np.arange(shards + 1))
-
-
-def _ask(order: int, shards: int):
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                one = {name: batch.column(name)[row].as_py() for name in ("block", "train", "counts", "vocabulary", "places")}
-                trains = np.repeat(np.frombuffer(one["train"], np.uint8), np.frombuffer(one["counts"], "<u4"))
-                for n, inside, distinct, place, by_shard, ends in _listed(_sequence(one["vocabulary"], one["places"]), order, shards):
-                    seen = np.bincount(place, trains[inside], len(distinct)).astype("<u4")[by_shard]
-                    distinct = distinct[by_shard].astype("<u8")
-                    spans = [(s, a, b) for s, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())) if b > a]
-                    if spans:
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([s for s, _, _ in spans], pa.int32()), pa.array([n] * len(spans), pa.int32()),
-                            pa.array([one["block"]] * len(spans), pa.int64()),
-                            pa.array([distinct[a:b].tobytes() for _, a, b in spans]), pa.array([seen[a:b].tobytes() for _, a, b in spans]),
-                        ], ["shard", "n", "block", "hashes", "seen"])
-    return ask
+def _short(values: np.ndarray, n: int, shard: int, shards: int) -> np.ndarray:
+    """What a shard is told of its ascending hashes: of words the hash itself, of longer n-grams 40 bits of it."""
+    return values if n == 1 else within(values, shard, shards, 40)
+
+
+class _Counts:
+    """The n-grams of a block, order by order, with their counts in the block and, where told, in the corpus."""
+
+    def __init__(self, row: dict, shards: int, told: pa.Table | None = None):
+        vocabulary = reascending(row["vocabulary"], "<u8")
+        places = unplanes(zstandard.decompress(row["places"]), "<u4")
+        self.tokens, self.shards, self.block = vocabulary[places], shards, row["block"]
+        self._trains = np.repeat(np.frombuffer(row["train"], np.uint8), np.frombuffer(row["counts"], "<u4"))
+        self._told: dict[int, dict[int, tuple[bytes, bytes]]] = {}
+        for answer in told.select(["n", "shard", "told", "alone"]).to_pylist() if told else []:
+            self._told.setdefault(answer["n"], {})[answer["shard"]] = answer["told"], answer["alone"]
+        self.exists: list[np.ndarray] = []
+        #: Of the n-gram that ends at each token: the corpus count, and whether other blocks may have it.
+        self.counts: list[np.ndarray] = []
+        self._shared: list[np.ndarray] = []
+        self._ngrams = _ngrams(self.tokens, 1 << 30)
+        self._first = vocabulary, places
+
+    def next_order(self) -> tuple[int, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """(n, hashes to ask for, their counts here, spans of shards) of the next order; what was told of it is taken in."""
+        n = len(self.counts) + 1
+        hashed, exists = next(self._ngrams)
+        if n == 1:
+            distinct, place = self._first
+            open_ = np.ones(len(distinct), bool)
+        else:
+            distinct, place = np.unique(hashed[exists], return_inverse=True)
+            ends = self._shared[-1]
+            begins = np.concatenate([ends[:1], ends[:-1]]) if n > 2 else np.concatenate([[True], ends[:-1]])
+            open_ = np.zeros(len(distinct), bool)
+            open_[place[(ends & begins)[exists]]] = True
+        here = np.bincount(place, self._trains[exists], len(distinct)).astype(np.int64)
+        asked = np.flatnonzero(open_)
+        spans = ranges(distinct[asked], self.shards)
+        total, shared = here.copy(), np.zeros(len(distinct), bool)
+        for shard, a, b in spans if n in self._told else ():
+            told, alone = self._told[n][shard]
+            others = ~np.unpackbits(np.frombuffer(alone, np.uint8), count=b - a).astype(bool)
+            total[asked[a:b][others]] = unplanes(told, "<i8")
+            shared[asked[a:b]] = others
+        of, may = np.zeros(len(self.tokens), np.int64), np.zeros(len(self.tokens), bool)
+        of[exists], may[exists] = total[place], shared[place]
+        self.counts.append(of)
+        self._shared.append(may)
+        self.exists.append(exists)
+        return n, distinct[asked], here[asked], spans
+
+    def questions(self, order: int) -> pa.Table:
+        """What the block asks of each shard about its n-grams of ``order`` words."""
+        for _ in range(order - 1):
+            self.next_order()
+        n, hashes, here, spans = self.next_order()
+        return pa.table({
+            "shard": pa.array([s for s, _, _ in spans], pa.int32()), "n": pa.array([n] * len(spans), pa.int32()),
+            "block": pa.array([self.block] * len(spans), pa.int64()),
+            "hashes": pa.array([ascending(_short(hashes[a:b], n, s, self.shards)) for s, a, b in spans], pa.binary()),
+            "seen": pa.array([planes(here[a:b].astype("<u4")) for _, a, b in spans], pa.binary()),
+        })
+
+
+_ASKED = "shard int, n int, block long, hashes binary, seen binary"
+_TOLD = "shard int, n int, block long, told binary, alone binary, known long"
+_OF_BLOCK = ["block", "train", "counts", "vocabulary", "places"]
 
 
 def _answer(rows: pa.Table) -> pa.Table:
-    """All that is asked of one shard and order -> the corpus counts, in the order asked for; n-grams seen in training."""
-    asked = [np.frombuffer(x, "<u8") for x in rows["hashes"].to_pylist()]
-    seen = np.concatenate([np.frombuffer(x, "<u4") for x in rows["seen"].to_pylist()])
-    distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
+    """All that is asked of one shard about one order -> for each block which n-grams no other has, and of the others the corpus
+    counts; the n-grams seen in training."""
+    asked = [reascending(x, "<u8") for x in rows["hashes"].to_pylist()]
+    seen = np.concatenate([unplanes(x, "<u4") for x in rows["seen"].to_pylist()])
+    distinct, place, blocks = np.unique(np.concatenate(asked), return_inverse=True, return_counts=True)
     total = np.bincount(place, seen, len(distinct)).astype("<i8")
-    answers = np.split(total[place], np.cumsum([len(x) for x in asked])[:-1])
+    told, alone = [], []
+    for part in np.split(place, np.cumsum([len(x) for x in asked])[:-1]):
+        only = blocks[part] == 1  # a block asks for each once
+        told.append(planes(total[part[~only]]))
+        alone.append(np.packbits(only).tobytes())
     known = [0] * len(asked)
     known[0] = int((total > 0).sum())
     return pa.table({
         "shard": rows["shard"], "n": rows["n"], "block": rows["block"],
-        "seen": pa.array([x.tobytes() for x in answers], pa.binary()), "known": pa.array(known, pa.int64()),
+        "told": pa.array(told, pa.binary()), "alone": pa.array(alone, pa.binary()), "known": pa.array(known, pa.int64()),
     })
 
 
@@ -163,19 +213,11 @@ def _score(order: int, shards: int, n: int, v: int, start: int, strength: float,
     def score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         if not blocks.num_rows:
             return pa.table([pa.array([], kind) for kind in kinds], names)
-        row = {name: blocks[name][0].as_py() for name in ("train", "counts", "vocabulary", "places")}
-        tokens = _sequence(row["vocabulary"], row["places"])
-        told: dict[int, list] = {}
-        for shard, k, seen in zip(answers["shard"].to_pylist(), answers["n"].to_pylist(), answers["seen"].to_pylist()):
-            told.setdefault(k, []).append((shard, seen))
-        counts, exists = [], []
-        for k, inside, distinct, place, by_shard, _ in _listed(tokens, order, shards):
-            total = np.zeros(len(distinct), np.int64)
-            total[by_shard] = np.frombuffer(b"".join(seen for _, seen in sorted(told.get(k, []))), "<i8")
-            of = np.zeros(len(tokens), np.int64)
-            of[inside] = total[place]
-            counts.append(of)
-            exists.append(inside)
+        row = blocks.select(_OF_BLOCK).to_pylist()[0]
+        ngrams = _Counts(row, shards, answers)
+        for _ in range(order):
+            ngrams.next_order()
+        counts, exists = ngrams.counts, ngrams.exists
         root, weight = traverse(counts, exists, start, n, v, strength)
         size = np.frombuffer(row["counts"], "<u4").astype(np.int64)
         first = np.cumsum(size) - size
@@ -199,22 +241,39 @@ def score_texts(
     rows = modest(docs).select(
         F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    blocks = saved(rows.mapInArrow(
+    blocks = bucketed(rows.mapInArrow(
         _blocks, f"block long, ids array<{kind}>, train binary, counts binary, vocabulary binary, places binary, "
-        "tokens long, train_tokens long"), "lm-blocks")
+        "tokens long, train_tokens long"), "lm-blocks", "block")
     tokens, n = blocks.agg(F.sum("tokens"), F.sum("train_tokens")).head()
     tokens, n = tokens or 0, n or 0
     start = rows.where("train").count()
-    shards = max(1, -(-tokens * order // SHARD))
-    asked = blocks.select("block", "train", "counts", "vocabulary", "places") \
-        .mapInArrow(_ask(order, shards), "shard int, n int, block long, hashes binary, seen binary")
-    answers = saved(
-        asked.groupBy("shard", "n").applyInArrow(_answer, "shard int, n int, block long, seen binary, known long"), "lm-counts")
-    v = answers.where("n = 1").agg(F.sum("known")).head()[0] or 0
+    shards = max(1, -(-tokens // SHARD))
+    by_block = blocks.select("ids", *_OF_BLOCK).groupBy("block")
+
+    def ask_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                yield from _Counts(row, shards).questions(1).combine_chunks().to_batches()
+
+    def ask(size: int):
+        def of(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+            rows = blocks.select(_OF_BLOCK).to_pylist() or [
+                {"block": 0, "train": b"", "counts": b"", "vocabulary": b"", "places": zstandard.compress(b"")}]
+            return _Counts(rows[0], shards, answers).questions(size)
+        return of
+
+    def answered(asked: DataFrame) -> DataFrame:
+        return asked.groupBy("shard", "n").applyInArrow(_answer, _TOLD)
+
+    answers = saved(answered(blocks.select(*_OF_BLOCK).mapInArrow(ask_first, _ASKED)), "lm-counts")
+    v = answers.agg(F.sum("known")).head()[0] or 0
+    for size in range(2, order + 1):
+        asked = by_block.cogroup(answers.groupBy("block")).applyInArrow(ask(size), _ASKED)
+        answers = answers.union(saved(answered(asked), "lm-counts"))
     from pyspark.sql.pandas.types import to_arrow_type
 
     score = _score(order, shards, n, v, start, strength, to_arrow_type(rows.schema["id"].dataType))
-    found = blocks.select("block", "ids", "train", "counts", "vocabulary", "places").groupBy("block") \
-        .cogroup(answers.select("block", "shard", "n", "seen").groupBy("block")) \
+    found = by_block.cogroup(answers.groupBy("block")) \
         .applyInArrow(score, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
     return found.withColumn("train_tokens", F.lit(n).cast("long"))
