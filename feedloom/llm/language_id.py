@@ -19,10 +19,9 @@ from feedloom.llm.common import modest, slices, strings
 #: n-grams of 1 to 3 characters, hashed to this many features.
 FEATURES = 1 << 14
 ORDERS = 3
-#: Rows of each language to train on, about; the whole text of each is used.
+#: Rows of each language to train on, about, and of all languages together; the whole text of each is used.
 SAMPLE = 1000
-#: Languages beyond this number are refused, so that model and sample stay bounded.
-LANGUAGES = 500
+SAMPLE_OF_ALL = 20_000
 UNKNOWN = "und"
 
 _ASCII = np.arange(128, dtype=np.uint32)
@@ -163,14 +162,15 @@ def train(rows: DataFrame, label_col: str = "lang", text_col: str = "text", *, s
     """Learn from the rows whose label and text are not null.
 
     Document frequencies come from all of them, weights from about ``sample`` different texts of each label, chosen by
-    their hash; a fifth of these sets the temperature. No rows: a model that knows no label.
+    their hash, fewer where there are so many labels that these were more than ``SAMPLE_OF_ALL``, but ten each at least; a
+    fifth of these sets the temperature. No rows, as of an empty table: a model that knows no label. Repeated rows count
+    in the frequencies and once in the sample. Columns other than the two named are not read.
     """
     known = modest(rows).select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text")).dropna()
     salted = known.withColumn("salt", F.xxhash64("text", F.lit("language sample")))
     # Copies of a text have one salt; a large group of them counts as one text.
-    counts = {r.label: r["count"] for r in salted.select("label", "salt").distinct().groupBy("label").count().limit(LANGUAGES + 1).collect()}
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} labels")
+    counts = {r.label: r["count"] for r in salted.select("label", "salt").distinct().groupBy("label").count().collect()}
+    sample = min(sample, max(10, SAMPLE_OF_ALL // max(1, len(counts))))
     labels = sorted(counts)
     if not labels:
         return Model([], np.zeros((0, FEATURES), np.float32), 1.0)
@@ -179,14 +179,15 @@ def train(rows: DataFrame, label_col: str = "lang", text_col: str = "text", *, s
             .groupBy("feature").agg(F.sum("documents").alias("documents")).collect():
         documents[row.feature] = row.documents
     idf = np.log((1 + documents[-1]) / (1 + documents[:-1])) + 0.1
-    share = F.create_map(*[F.lit(x) for label in labels for x in (label, min(1.0, sample / counts[label]))])[F.col("label")]
-    chosen = salted.where(F.pmod("salt", F.lit(1 << 40)) < share * (1 << 40)) \
+    shares = F.broadcast(rows.sparkSession.createDataFrame(
+        [(label, float(min(1.0, sample / counts[label]) * (1 << 40))) for label in labels], "label string, share double"))
+    chosen = salted.join(shares, "label").where(F.pmod("salt", F.lit(1 << 40)) < F.col("share")) \
         .groupBy("label", "salt").agg(F.first("text").alias("text")).mapInArrow(_featurise, "label string, salt long, features binary, shares binary")
-    examples = []
+    examples, number = [], {label: n for n, label in enumerate(labels)}
     for row in chosen.collect():
         features = np.frombuffer(row.features, "<u2").astype(np.int64)
         values = np.frombuffer(row.shares, "<f4") * idf[features] * _SCALE
-        examples.append((row.salt, labels.index(row.label), features, values))
+        examples.append((row.salt, number[row.label], features, values))
     examples.sort(key=lambda e: (e[0], e[1]))
     held = [e for n, e in enumerate(examples) if n % 5 == 4]
     learner = Ftrl(len(labels))
@@ -204,7 +205,8 @@ def train(rows: DataFrame, label_col: str = "lang", text_col: str = "text", *, s
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, label, score) of each row; the text alone is looked at, whole.
 
-    ``und`` with score 0 if the text is null, has no letter, or the model knows no label.
+    ``und`` with score 0 if the text is null, has no letter, or the model knows no label. Repeated rows come out each, an
+    empty table gives no rows, and columns other than the two named are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = modest(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
