@@ -13,18 +13,21 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from feedloom.llm.common import modest, slices, strings
-from feedloom.llm.page_blocks import Block, blocks_of
+from feedloom.llm.page_blocks import Block, Element, Marks, blocks_of, nested
 
 FEATURES = 1 << 14
 #: Labelled pages to train on, about, and the longest that is taken for it.
 SAMPLE = 300
 SAMPLE_BYTES = 1 << 18
+#: Elements around a block at most, of a page to train on.
+SAMPLE_DEPTH = 256
 
 # What elements and names say about the text within.
 ARTICLE_TAGS = ("article", "main")
@@ -52,12 +55,20 @@ def _feature(name: str) -> int:
     return zlib.crc32(name.encode()) % FEATURES
 
 
-@lru_cache(1 << 14)
-def _around(marks: tuple[tuple[str, ...], ...]) -> tuple[int, ...]:
-    names = {f"in:{m}" for element in marks for m in element}
-    if marks:
-        names |= {f"at:{m}" for m in marks[-1]}
-    return tuple(sorted(map(_feature, names)))
+def _around(within: Element | None) -> list[int]:
+    found, element = [], within
+    while element:
+        found += _entered(element)
+        element = element.above
+    return found + _innermost(within)
+
+
+def _entered(element: Element) -> list[int]:
+    return [_feature(f"in:{m}") for m in element.fresh]
+
+
+def _innermost(within: Element | None) -> list[int]:
+    return [_feature(f"at:{m}") for m in dict.fromkeys(within.marks)] if within else []
 
 
 def _bucket(value: float, edges: tuple) -> int:
@@ -65,7 +76,12 @@ def _bucket(value: float, edges: tuple) -> int:
 
 
 def features(block: Block) -> list[int]:
-    """Of the elements around, and of the text: length, share of links, how it ends and begins, digits, signs."""
+    """Of the text, and of the elements around."""
+    return [*_of_text(block), *_around(block.within)]
+
+
+def _of_text(block: Block) -> list[int]:
+    """Length, share of links, how it ends and begins, digits, signs."""
     text, size = block.text, len(block.text)
     names = (
         "bias", f"length:{_bucket(size, (10, 25, 50, 100, 200, 400))}", f"links:{_bucket(block.linked / size, (0.05, 0.3, 0.7, 0.99))}",
@@ -73,7 +89,7 @@ def features(block: Block) -> list[int]:
         f"digits:{_bucket(sum(map(str.isdigit, text)) / size, (0.02, 0.1, 0.3))}",
         f"signs:{not _SIGNS.isdisjoint(text)}", f"commas:{_bucket(text.count(','), (1, 3))}",
     )
-    return [*map(_feature, names), *_around(block.around)]
+    return [*map(_feature, names)]
 
 
 def _logsum(values: np.ndarray, axis: int) -> np.ndarray:
@@ -106,11 +122,34 @@ class Field:
         pairs = ahead[:-1, :, None] + self.step + (score[1:] + back[1:])[:, None, :] - whole
         return np.exp(ahead + back - whole), np.exp(pairs)
 
+    def scores(self, blocks: list[Block]) -> np.ndarray:
+        """The emissions of the blocks' features; what elements around weigh is added up once for each element."""
+        known: dict[int, np.ndarray] = {}
+
+        def around(within: Element | None) -> np.ndarray | float:
+            line, element = [], within
+            while element and id(element) not in known:
+                line.append(element)
+                element = element.above
+            total = known[id(element)] if element else np.zeros(2)
+            for element in reversed(line):
+                if element.fresh:
+                    total = total + self.of[_entered(element)].sum(0)
+                known[id(element)] = total
+            return total
+
+        rows = [_of_text(b) + _innermost(b.within) for b in blocks]
+        ends = np.cumsum([len(row) for row in rows])
+        own = np.add.reduceat(self.of[np.array(list(chain.from_iterable(rows)), np.int64)], np.concatenate([[0], ends[:-1]])) if rows else 0
+        return np.array([around(b.within) for b in blocks]).reshape(-1, 2) + own
+
     def viterbi(self, rows: list[list[int]]) -> list[int]:
+        return self.decode(self.emissions(rows)) if rows else []
+
+    def decode(self, score: np.ndarray) -> list[int]:
         """The likeliest labels; a tie goes to 1, text."""
-        if not rows:
+        if not len(score):
             return []
-        score = self.emissions(rows)
         (aa, ab), (ba, bb) = self.step.tolist()
         zero, one = (self.first + score[0]).tolist()
         came: list[tuple[int, int]] = []
@@ -151,15 +190,15 @@ def fit(chains: list[tuple[list[list[int]], list[int]]], passes: int = 6, rate:
     return field
 
 
-def _renamed(block: Block, name: str) -> Block:
-    around = tuple(("div", f".{name}") if element[0] in ARTICLE_TAGS else element for element in block.around)
-    return Block(block.text, around, block.linked)
+def _renamed(block: Block, marks: Marks) -> Block:
+    around = tuple(marks if element[0] in ARTICLE_TAGS else element for element in block.around)
+    return Block(block.text, nested(around), block.linked)
 
 
 def taught_otherwise(blocks: list[Block], labels: list[int], rng: random.Random) -> tuple[list[Block], list[int]]:
-    """The page with its article in a ``div`` and with blocks of other kinds, their texts taken from the page."""
-    name = rng.choice(ARTICLE_NAMES)
-    page = [_renamed(b, name) for b in blocks]
+    """The page with its article in a plain element, named or not, and with blocks of other kinds, their texts taken from the page."""
+    marks = (rng.choice(("div", "div", "section")), *(["." + rng.choice(ARTICLE_NAMES)] if rng.random() < 0.6 else []))
+    page = [_renamed(b, marks) for b in blocks]
     labels = list(labels)
     # The elements around the article itself, without what its blocks have of their own.
     inside = next((b.around[:-1] for b, of in zip(page, labels) if of and len(b.around) > 1), (("body",),))
@@ -171,7 +210,7 @@ def taught_otherwise(blocks: list[Block], labels: list[int], rng: random.Random)
         within = rng.random() < 0.5
         inner = rng.choice(((), (("p",),), (("ul",), ("li",)), (("div",),)))
         around = (*(inside if within else (("html",), ("body",))), element, *inner)
-        lines = [Block(b.text, around, len(b.text) if rng.random() < 0.3 else 0) for b in rng.sample(blocks, min(len(blocks), rng.randint(1, 3)))]
+        lines = [Block(b.text, nested(around), len(b.text) if rng.random() < 0.3 else 0) for b in rng.sample(blocks, min(len(blocks), rng.randint(1, 3)))]
         article = [n for n, of in enumerate(labels) if of]
         at = rng.randint(article[0], article[-1] + 1) if within and article else rng.choice((0, len(page)))
         page[at:at] = lines
@@ -192,6 +231,8 @@ def train(pages: DataFrame, html_col: str = "html", *, sample: int = SAMPLE) ->
     chains = []
     for html in sorted(row.html for row in chosen):
         blocks = blocks_of(html)
+        if max((b.within.depth for b in blocks if b.within), default=0) > SAMPLE_DEPTH:
+            continue
         labels = [label(b) for b in blocks]
         if any(labels):
             rng = random.Random(zlib.crc32(html.encode()))
@@ -205,13 +246,17 @@ _PIECES = re.compile(r"[\ud800-\udfff]")
 
 def main_text(html: str, field: Field) -> str:
     blocks = blocks_of(html)
-    kept = field.viterbi([features(b) for b in blocks])
+    kept = field.decode(field.scores(blocks))
     # A reference to half a character cannot be written.
     return _PIECES.sub("�", "\n".join(b.text for b, of in zip(blocks, kept) if of))
 
 
 def extract(pages: DataFrame, field: Field, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, url, text, n_chars) of each row: the main text, its blocks joined by a line break; null html: empty."""
+    """(id, url, text, n_chars) of each row: the main text, its blocks joined by a line break; null html: empty.
+
+    Null ids and urls stay null, repeated rows come out each, an empty table gives no rows, and columns other than the three named
+    are not read. Elements may be nested to any depth.
+    """
     sent = pages.sparkSession.sparkContext.broadcast(field)
     rows = modest(pages).select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -24,18 +25,52 @@ _BODY = frozenset("body article aside div footer form header main nav section ta
 _WORD = re.compile(r"[a-z]+")
 
 
+Marks = tuple[str, ...]
+
+
+@dataclass(eq=False, slots=True)
+class Element:
+    """An element around a block: its marks (tag, and words of class, id and role after a dot) and the element around it."""
+
+    marks: Marks
+    above: Element | None
+    #: Marks that no element above has.
+    fresh: Marks
+    depth: int
+
+
+def nested(around: tuple[Marks, ...]) -> Element | None:
+    """Elements of these marks, the outermost first, within each other; the innermost."""
+    element, seen = None, set()
+    for depth, marks in enumerate(around, 1):
+        element = Element(marks, element, tuple(dict.fromkeys(m for m in marks if m not in seen)), depth)
+        seen.update(marks)
+    return element
+
+
 @dataclass
 class Block:
     text: str
-    #: Marks of the elements around it from the outermost: tags, and words of class, id and role after a dot.
-    around: tuple[tuple[str, ...], ...]
+    #: The innermost of the elements around it that are no inline ones. Blocks share elements, so a page of any depth is small.
+    within: Element | None
     linked: int
 
+    @property
+    def around(self) -> tuple[Marks, ...]:
+        """Marks of the elements around it from the outermost."""
+        out, element = [], self.within
+        while element:
+            out.append(element.marks)
+            element = element.above
+        return tuple(reversed(out))
+
 
 @dataclass
 class _Open:
     tag: str
-    marks: tuple[str, ...]
+    marks: Marks
+    #: The innermost element that is no inline one, this one included.
+    element: Element | None
 
 
 @dataclass
@@ -45,6 +80,8 @@ class _Reader(HTMLParser):
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
         self._open: list[_Open] = []
+        self._tags: Counter[str] = Counter()
+        self._marks: Counter[str] = Counter()
         self._held: list[str] = []
         self._linked = self._unseen = self._links = 0
 
@@ -52,8 +89,8 @@ class _Reader(HTMLParser):
         if self._held:
             text = " ".join("".join(self._held).split())
             if text:
-                around = tuple(e.marks for e in self._open if e.tag not in INLINE)
-                self.blocks.append(Block(text, around, min(self._linked, len(text))))
+                within = self._open[-1].element if self._open else None
+                self.blocks.append(Block(text, within, min(self._linked, len(text))))
         self._held, self._linked = [], 0
 
     def _close(self, place: int) -> None:
@@ -62,9 +99,15 @@ class _Reader(HTMLParser):
             self._end_block()
         self._unseen -= sum(e.tag in UNSEEN for e in gone)
         self._links -= sum(e.tag == "a" for e in gone)
+        for e in gone:
+            self._tags[e.tag] -= 1
+            if e.tag not in INLINE:
+                self._marks.subtract(e.marks)
         del self._open[place:]
 
     def _close_last(self, tags: set[str], scopes: frozenset[str]) -> None:
+        if not any(self._tags[tag] for tag in tags):
+            return
         for place in range(len(self._open) - 1, -1, -1):
             if self._open[place].tag in tags:
                 self._close(place)
@@ -73,7 +116,7 @@ class _Reader(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
-        if tag in _BODY and self._unseen and any(e.tag == "head" for e in self._open):
+        if tag in _BODY and self._unseen and self._tags["head"]:
             self._close_last({"head"}, frozenset())
         if tag not in INLINE:
             self._end_block()
@@ -88,7 +131,13 @@ class _Reader(HTMLParser):
         if tag in VOID:
             return
         words = [w for name, value in attrs if name in ("class", "id", "role") and value for w in _WORD.findall(value.lower())]
-        self._open.append(_Open(tag, (tag, *("." + w for w in words))))
+        marks, element = (tag, *("." + w for w in words)), self._open[-1].element if self._open else None
+        if tag not in INLINE:
+            fresh = tuple(m for m in dict.fromkeys(marks) if self._marks[m] <= 0)
+            element = Element(marks, element, fresh, element.depth + 1 if element else 1)
+            self._marks.update(marks)
+        self._open.append(_Open(tag, marks, element))
+        self._tags[tag] += 1
         self._unseen += tag in UNSEEN
         self._links += tag == "a"
 
@@ -103,6 +152,8 @@ class _Reader(HTMLParser):
             if tag == "br":
                 self._held.append(" ")
             return
+        if not self._tags[tag]:
+            return
         for place in range(len(self._open) - 1, -1, -1):
             if self._open[place].tag == tag:
                 self._close(place)

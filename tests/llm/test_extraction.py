@@ -1,11 +1,13 @@
 import itertools
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
 
 from feedloom.llm import extraction as ex
-from feedloom.llm.page_blocks import blocks_of
+from feedloom.llm.page_blocks import blocks_of, nested
 
 SCHEMA = "page_id long, url string, html string, text string, id long"
 
@@ -102,3 +104,40 @@ def test_features_look_at_the_whole_block():
 
     assert ex._feature("signs:True") in told("word " * 50 + "©") and ex._feature("commas:2") in told("word " * 50 + "a, b, c, d")
     assert ex._feature("digits:3") in told("word " * 50 + "1" * 1000) and ex._feature("digits:0") in told("1" * 100 + "a" * 50_000)
+
+
+def test_pages_of_any_depth(spark):
+    """100,000 elements within each other, each with a block, in seconds; unclosed and crossed tags too."""
+    field = ex.train(_pages(spark, [("a", _page(random.Random(n))[0]) for n in range(20)]))
+    deep = ["<div>x" * 100_000, "<article>" + "<center class=ad>x" * 50_000, "<b><i>" * 50_000 + "x" + "</p>" * 50_000,
+            "".join(f"<div class=c{'abcdefghij'[n % 10] * (n % 97)}>x" for n in range(50_000))]
+    for html in deep:
+        tracemalloc.start()
+        started = time.time()
+        text = ex.main_text(html, field)
+        assert time.time() - started < 30 and tracemalloc.get_traced_memory()[1] < 300 << 20
+        tracemalloc.stop()
+        assert set(text) <= {"x", "\n"}
+    assert ex.train(_pages(spark, [("a", "<article>" + "<div>x" * 5000)])).of.any() == False  # too deep to learn from  # noqa: E712
+
+
+def test_scores_are_those_of_the_features():
+    field, _ = _field(3, ex.FEATURES)
+    blocks = blocks_of(_page(random.Random(5))[0] + "<div class='a b'><div class=a>x<div>y</div></div>z</div>")
+    assert np.allclose(field.scores(blocks), field.emissions([ex.features(b) for b in blocks]))
+    for b in blocks:
+        assert nested(b.around).fresh == b.within.fresh and nested(b.around).depth == b.within.depth
+
+
+def test_articles_without_marks_and_with_unlisted_names(spark):
+    """The field is taught by marked pages; where a page marks nothing, what it has learned of texts and other elements counts."""
+    rng = random.Random(2)
+    field = ex.train(_pages(spark, [("a", _page(rng)[0]) for _ in range(150)]))
+    bare = right = 0
+    for _ in range(100):
+        html, text = _page(rng)
+        for begin in ("<section>", '<div class="zq-column">', "<div>"):
+            end = "</section>" if "section" in begin else "</div>"
+            bare += 1
+            right += ex.main_text(html.replace("<article>", begin).replace("</article>", end), field) == text
+    assert right / bare > 0.8
