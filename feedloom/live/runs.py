@@ -1,4 +1,4 @@
-"""Starting and ending streaming queries, and where they keep their progress."""
+"""Starting and ending queries over streams, where they keep their progress, and what batches they have worked off."""
 
 from __future__ import annotations
 
@@ -22,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master == "local" or master.startswith("local["):
         return tempfile.mkdtemp(prefix="feedloom-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
@@ -128,7 +129,7 @@ def batches(spark: SparkSession, *queries) -> DataFrame:
 
     (query, run, batch_id, started, rows, seconds, counts): ``run`` is another with each start, ``counts`` holds
     what the stream counts while its rows pass (``operators.validity.tagged``). A query that runs on or has ended remembers its
-    last ``spark.sql.streaming.numRecentProgressUpdates`` triggers (100 by default).
+    last triggers, 100 by default.
     """
     rows = []
     for query in queries:

@@ -1,4 +1,4 @@
-"""The latest row of each key, kept as the state of a streaming aggregation.
+"""The latest row of each key, kept as the state of an aggregation over a stream.
 
 The state store is the table: a batch updates the keys it holds, a checkpoint makes that count once, and
 ``latest_rows`` reads the store as any other source. Nothing else is written, unless the rows that a batch
@@ -33,7 +33,7 @@ def keep_latest(
     Ties fall to the remaining columns, so any split into batches and any replay ends in the same state. A key of
     NULL is a key like others; filter such rows before. A batch sends one row a key to the shuffle at most. ``sink`` gets the
     changed rows of each batch and must use all of them. The number of state's parts is ``spark.sql.shuffle.partitions`` at the first
-    start; with many keys set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider, which keeps
+    start; with many keys let the session's state store be RocksDB's, which keeps
     them on disk.
     """
     return runs.start(
