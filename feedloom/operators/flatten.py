@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.functions.once import names_where, select_once
@@ -88,17 +90,20 @@ def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool =
     # address, and only those are read again.
     places = range(len(ADDRESS_PATHS))
 
-    def fraction(leaf: Column) -> Column:
-        return F.coalesce(F.schema_of_variant(leaf).rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+    def fraction(i: int) -> Column:
+        # What sorts before ":" may be a number; only then its kind is looked up.
+        kind = F.schema_of_variant(F.col(f"leaf.address_{i}"))
+        return F.when(F.col(f"text.address_{i}") < ":", kind.rlike("^(DECIMAL|DOUBLE|FLOAT)")).otherwise(False)
 
-    odd = F.exists(F.array(*[F.col(f"leaf.address_{i}") for i in places]), fraction)
+    docs = docs.withColumn("fraction", F.struct(*[fraction(i).alias(f"address_{i}") for i in places]))
+    odd = reduce(lambda a, b: a | b, [F.col(f"fraction.address_{i}") for i in places])
     again = F.from_json(raw, "results array<struct<location struct<street struct<number string, name string>, "
                              "city string, state string, country string>>>")
     docs = docs.withColumn("first", F.when(odd, again)["results"][0])
     # One expression for all parts, however long: five copies of it make code that the JVM does not compile.
     parts = F.array(*[F.struct(
         F.col(f"leaf.address_{i}").alias("leaf"), F.col(f"text.address_{i}").alias("text"),
-        F.when(F.col("first").isNotNull() & fraction(F.col(f"leaf.address_{i}")), F.col(f"first.{path}")).alias("written"),
+        F.when(F.col(f"fraction.address_{i}"), F.col(f"first.{path}")).alias("written"),
         F.lit(gap).alias("gap"),
     ) for i, (path, gap) in enumerate(zip(ADDRESS_PATHS, _GAPS))])
     columns = {name: F.col(f"text.{name}") for name in PATHS}

@@ -39,10 +39,16 @@ def read_topic(
         )
     # A stream heeds basePath, which makes "topic" a column, only where the path is a glob.
     names = "{" + ",".join(topics) + "}"
-    folders = T.StructType([*ENVELOPE, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+    written = [f for f in ENVELOPE.fields if f.name not in ("partition", "offset")]
+    folders = T.StructType([*written, T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+    # Where a message stands: in which of a publishing job's tasks, and in which file and row of that task.
+    name = F.col("_metadata.file_name")
+    task = F.regexp_extract(name, r"^part-(\d+)", 1).cast("int")
+    file = F.coalesce(F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
     return (
         reader.schema(folders).options(**(options or {})).option("basePath", path)
         .parquet(f"{path}/topic={names}")
+        .withColumns({"partition": task, "offset": F.shiftleft(file, 40) + F.col("_metadata.row_index")})
         .select(*ENVELOPE.fieldNames(), *(["run", "batch_id"] if with_batch else []))
     )
 
@@ -77,12 +83,8 @@ def publish(
     if path is None:
         messages.write.format("kafka").options(**(options or {})).save()
     else:
-        # The broker's part: the arrival time, and the place in the order of writing.
-        place = F.monotonically_increasing_id()
         (
-            messages.select(
-                "key", "value", F.shiftright(place, 33).cast("int").alias("partition"),
-                place.bitwiseAND((1 << 33) - 1).alias("offset"), F.current_timestamp().alias("timestamp"))
+            messages.select("key", "value", F.current_timestamp().alias("timestamp"))
             .write.mode("overwrite").options(**(options or {}))
             .parquet(batch_folder(f"{path}/topic={topic}", batch_id, run or uuid.uuid4().hex))
         )

@@ -24,3 +24,4 @@ def test_overflow_raises(spark):
     df = spark.createDataFrame([(2 ** 62,)], "n long")
     with pytest.raises(ArithmeticException):
         scaled(df, "n", 5).collect()
+    assert [r.n for r in scaled(df.union(df.selectExpr("n - n + 3")), "n", 5, null_on_overflow=True).collect()] == [None, 15]
