@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, strategies as st
 
+from feedloom.llm import decontamination
 from feedloom.llm.decontamination import find_leaks, without_leaks
 from feedloom.llm.fm_index import FMIndex
 
@@ -53,7 +55,10 @@ def cases():
     return items, docs
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("part", [1 << 23, 300])
+def test_against_brute_force(spark, monkeypatch, part):
+    """Also with a benchmark in several parts."""
+    monkeypatch.setattr(decontamination, "BENCHMARK_BYTES", part)
     items, docs = cases()
     items = items[:-1]  # the item of one frequent word would hit everything
     got = find_leaks(docs_of(spark, docs), spark.createDataFrame(items, "item_id int, text string")).collect()
@@ -69,7 +74,9 @@ def test_against_brute_force(spark):
     assert sum(bool(r.n_hit) for r in got) > 10
 
 
-def test_removal_leaves_no_window_and_all_else(spark):
+@pytest.mark.parametrize("part", [1 << 23, 300])
+def test_removal_leaves_no_window_and_all_else(spark, monkeypatch, part):
+    monkeypatch.setattr(decontamination, "BENCHMARK_BYTES", part)
     items, docs = cases()
     benchmark = spark.createDataFrame(items[:-1], "item_id int, text string")
     rows = docs_of(spark, docs)
@@ -91,3 +98,21 @@ def test_empty_tables(spark, none):
     got = find_leaks(docs_of(spark, odd_rows()), benchmark.limit(0)).collect()
     assert len(got) == len(odd_rows()) and not any(r.n_hit for r in got)
     assert without_leaks(none, benchmark).collect() == []
+
+
+def test_benchmark_above_a_part(spark):
+    """More text than is sent to the tasks together; parts and whole find the same."""
+    rng = random.Random(6)
+    items = [(n, " ".join(f"w{rng.randrange(3000)}" for _ in range(1500))) for n in range(900)]
+    assert sum(len(t) for _, t in items) > decontamination.BENCHMARK_BYTES // 2
+    benchmark = spark.createDataFrame(items, "item_id int, text string").union(
+        spark.createDataFrame([(n + 1000, t + " end") for n, t in items[:500]], "item_id int, text string"))
+    docs = [(n, "x " * 5 + " ".join(items[n * 7][1].split()[40:70]) + " y z", "en", "a") for n in range(30)] + [(99, "x y z", "en", "a"), (98, None, None, None)]
+    got = find_leaks(docs_of(spark, docs), benchmark).collect()
+    for r in got:
+        n = r.id
+        want = (0, []) if n > 50 else (30, sorted(str(i) for i in (7 * n, *([7 * n + 1000] if 7 * n < 500 else []))))
+        assert (r.n_hit, list(r["items"])) == want
+        assert [(s.start, s.end) for s in r.spans] == ([(10, len(docs[n][1]) - 4)] if n < 50 else [])
+    kept = {r.doc_id: r.text for r in without_leaks(docs_of(spark, docs), benchmark).collect()}
+    assert kept == {**{n: "x " * 5 + " y z" for n in range(30)}, 99: "x y z", 98: None}
