@@ -15,7 +15,7 @@ from math import log2
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.llm.common import modest, saved, slices, spread_join, strings
 
@@ -84,6 +84,11 @@ def _ownership(values: DataFrame) -> DataFrame:
         F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("n").alias("n")), "secret-values")
 
 
+def _owned(max_owners: int, max_repositories: int) -> Column:
+    """One owner may have its key in any number of repositories; what several have is theirs only while it is rare."""
+    return (F.col("owners") == 1) | ((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
+
+
 def _scanned(rows: DataFrame) -> DataFrame:
     """Rows (row, owner, repository, text) with their spans and a number, without the text, as a written table."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,12 +110,13 @@ def _name(column: str):
 
 def find_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-    repository_col: str = "doc_id", *, max_owners: int = 2,
+    repository_col: str = "doc_id", *, max_owners: int = 2, max_repositories: int = 20,
 ) -> DataFrame:
     """(id, spans) of each row: spans are (start, kind, end, owners, repositories, owned) in order, in code points.
 
-    ``kind`` counts in KINDS. Base findings always stay; ``owned`` tells those whose value at most ``max_owners``
-    owners hold from copies of an example, and a candidate without a base pattern is a finding only if it is owned.
+    ``kind`` counts in KINDS. Base findings always stay; ``owned`` tells those whose value one owner holds, or
+    at most ``max_owners`` in ``max_repositories`` repositories together, from copies of an example, and a candidate without a base
+    pattern is a finding only if it is owned.
     Values are compared without case. Null owners are one owner, null text has no spans, repeated rows count once.
     """
     found = _scanned(modest(docs).select(
@@ -120,7 +126,7 @@ def find_secrets(
         "number", "owner", "repository", "span.*")
     # A copied example may be any share of the spans.
     judged = spread_join(single, _ownership(single.select("value", "owner", "repository")), ["value"]) \
-        .withColumn("owned", F.col("owners") <= max_owners).where((F.col("kind") != OWNED) | F.col("owned"))
+        .withColumn("owned", _owned(max_owners, max_repositories)).where((F.col("kind") != OWNED) | F.col("owned"))
     lists = judged.groupBy("number").agg(F.array_sort(F.collect_list(
         F.struct("start", "kind", "end", "owners", "repositories", "owned"))).alias("spans"))
     return found.select("row.id", "number").join(lists, "number", "left").select(
@@ -140,7 +146,7 @@ def mask(text: str, spans: list[tuple[int, int]], put: str) -> str:
 
 def without_secrets(
     docs: DataFrame, text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id",
-    length_col: str | None = None, *, max_owners: int = 2, put: str = "[SECRET]",
+    length_col: str | None = None, *, max_owners: int = 2, max_repositories: int = 20, put: str = "[SECRET]",
 ) -> DataFrame:
     """``docs`` with every finding of ``find_secrets`` replaced by ``put``; no row goes.
 
@@ -152,7 +158,7 @@ def without_secrets(
         F.col(text_col).alias("text")))
     single = found.select("number", "owner", "repository", F.explode("spans").alias("span")).select(
         "number", "owner", "repository", "span.value", "span.kind")
-    owned = _ownership(single.select("value", "owner", "repository")).where(F.col("owners") <= max_owners)
+    owned = _ownership(single.select("value", "owner", "repository")).where(_owned(max_owners, max_repositories))
     live = spread_join(single.where(F.col("kind") == OWNED).select("number", "value").distinct(), owned, ["value"]) \
         .groupBy("number").agg(F.collect_list("value").alias("live"))
     judge = F.exists("spans", lambda span: span["kind"] == OWNED)

@@ -108,3 +108,20 @@ def test_long_values_and_values_around_a_base_finding(spark):
     assert {kind for kind, _, _ in found[4]} == {"assign", "hex"}
     texts = {r.doc_id: r.text for r in without_secrets(docs_of(spark, rows)).collect()}
     assert texts == {1: "x [SECRET] y", 2: "ey.[SECRET].Sig", 3: "x [SECRET] y", 4: "[SECRET]"}
+
+
+def test_owners_and_repositories_decide(spark):
+    """One owner's key in many documents is a key; what two owners have in many is an example, in few it is theirs."""
+    keys = {name: "Zq7" + base64.b64encode(hashlib.sha256(name.encode()).digest()).decode()[:20].replace("+", "x").replace("/", "y") + "9aB"
+            for name in ("one", "few", "many", "wide")}
+    rows = [(n, f"x {keys['one']} y", "en", "a") for n in range(40)]
+    rows += [(100 + n, f"x {keys['few']} y", "en", "ab"[n % 2]) for n in range(20)]
+    rows += [(200 + n, f"x {keys['many']} y", "en", "ab"[n % 2]) for n in range(21)]
+    rows += [(300 + n, f"x {keys['wide']} y", "en", "abc"[n]) for n in range(3)]
+    got = {r.id: r.spans for r in find_secrets(docs_of(spark, rows)).collect()}
+    assert {i // 100 for i, spans in got.items() if spans} == {0, 1} and all(len(got[i]) == 1 for i in [*range(40), *range(100, 120)])
+    assert got[0][0].repositories == 40 and got[100][0].owners == 2
+    texts = {r.doc_id: r.text for r in without_secrets(docs_of(spark, rows)).collect()}
+    assert all((text == "x [SECRET] y") == bool(got[i]) for i, text in texts.items())
+    wide = find_secrets(docs_of(spark, rows), max_owners=3, max_repositories=2).collect()
+    assert {r.id // 100 for r in wide if r.spans} == {0}
