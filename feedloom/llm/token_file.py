@@ -107,7 +107,7 @@ def _writer(path: str, folder: str, end_id: int, file_ids: int, added: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, stretch, number = encoder(path, kept=400_000, added=added), TaskContext.get().partitionId(), 0
+        library, stretch, number = encoder(path, kept=800_000, added=added), TaskContext.get().partitionId(), 0
         docs, held, size = [], [], 0
 
         def flush() -> pa.RecordBatch:

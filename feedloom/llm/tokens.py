@@ -45,6 +45,10 @@ class Encoder:
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = not added
         self._added = [t.content for t in self._library.get_added_tokens_decoder().values()] if added else []
+        vocabulary = self._library.get_vocab(with_added_tokens=False)
+        #: Bytes of each token, which has a character for each in the file.
+        self._sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self._sizes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.KEPT = kept or self.KEPT
         self._ids: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -105,16 +109,13 @@ class Encoder:
         for piece in new:
             # A piece that begins with a space and a letter is a space and letters.
             (words if len(piece) > 1 and piece[0] == " " and piece[1].isalpha() else rest).append(piece)
-        # Words that begin with a space fall apart again where they were joined.
-        rows = [words[at:at + 256] for at in range(0, len(words), 256)]
-        for row, got in zip(rows, self._library.encode_batch(["".join(r) for r in rows], add_special_tokens=False)):
-            numbers = np.array(got.word_ids)
-            ids = np.array(got.ids, "<u4").tobytes()
-            ends = 4 * np.append(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1, len(numbers))
-            start = 0
-            for word, end in zip(row, ends.tolist()):
-                self._ids[word] = ids[start:end]
-                start = end
+        # Words that begin with a space fall apart again where they were joined: a token's bytes lie in one word.
+        for at in range(0, len(words), 256):
+            row = words[at:at + 256]
+            ids = np.array(self._library.encode_batch_fast(["".join(row)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self._sizes[ids]), np.cumsum([len(w.encode()) for w in row])) + 1
+            content, places = ids.tobytes(), (4 * ends).tolist()
+            self._ids.update(zip(row, [content[a:b] for a, b in zip([0, *places], places)]))
         self._ids.update(zip(rest, self._whole(rest)))
 
 
