@@ -251,7 +251,8 @@ def without_repeats(
     (an even number) that also starts earlier: in a row of smaller id, a null id being the least, or earlier in a row of the same
     id. So rows that repeat an id, null too, count as one document, and what starts at one place in several of them stays
     in all. Null and empty texts have no words; texts of less than ``window`` words stay as they are, but for their white space.
-    Ids are integers. A text is held by one task whole. Columns other than the two named are not read.
+    Repeated rows come out each, an empty table gives no rows. Ids are integers. A text is held by one task whole. Columns
+    other than the two named are not read.
     """
     if window % 2:
         raise ValueError("window must be even")
