@@ -55,6 +55,11 @@ def _float_shown(value: Column) -> Column:
         (F.abs(value) >= 1e-4) & (F.abs(value) < 1e16), plain).otherwise(exponent)
 
 
+def _struct(fields: dict[str, str]) -> Column:
+    """A struct of SQL expressions, sent to the JVM as one."""
+    return F.expr("named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in fields.items()) + ")")
+
+
 def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool = False) -> DataFrame:
     """Flatten the first result of each payload to 11 columns.
 
@@ -74,28 +79,21 @@ def flatten_users(payloads: DataFrame, raw: str = "raw", typed_postcode: bool =
     keeps the last value.
     """
     paths = {**PATHS, **{f"address_{i}": p for i, p in enumerate(ADDRESS_PATHS)}}
-    leaves = F.struct(*[
-        F.try_variant_get(F.col("doc"), f"$.doc.results[0].{path}", "variant").alias(name)
-        for name, path in paths.items()
-    ])
+    leaves = _struct({name: f"try_variant_get(doc, '$.doc.results[0].{path}', 'variant')" for name, path in paths.items()})
     end = F.xxhash64(raw)
     wrapped = F.concat(F.lit('{"doc":'), F.col(raw), F.lit(',"end":'), end.cast("string"), F.lit("}"))
     docs = payloads.withColumn("doc", F.try_parse_json(wrapped)).withColumn(
         "leaf", F.when(F.try_variant_get("doc", "$.end", "bigint") == end, leaves)
     )
-    docs = docs.withColumn("text", F.struct(*[
-        F.try_variant_get(F.col(f"leaf.{name}"), "$", "string").alias(name) for name in paths
-    ]))
+    docs = docs.withColumn("text", _struct({name: f"try_variant_get(leaf.{name}, '$', 'string')" for name in paths}))
     # A VARIANT forgets how a number with a fraction was written. Few payloads have one in their
     # address, and only those are read again.
     places = range(len(ADDRESS_PATHS))
 
-    def fraction(i: int) -> Column:
-        # What sorts before ":" may be a number; only then its kind is looked up.
-        kind = F.schema_of_variant(F.col(f"leaf.address_{i}"))
-        return F.when(F.col(f"text.address_{i}") < ":", kind.rlike("^(DECIMAL|DOUBLE|FLOAT)")).otherwise(False)
-
-    docs = docs.withColumn("fraction", F.struct(*[fraction(i).alias(f"address_{i}") for i in places]))
+    # What sorts before ":" may be a number; only then its kind is looked up.
+    docs = docs.withColumn("fraction", _struct({
+        f"address_{i}": f"CASE WHEN text.address_{i} < ':' THEN schema_of_variant(leaf.address_{i}) RLIKE '^(DECIMAL|DOUBLE|FLOAT)' "
+                        "ELSE FALSE END" for i in places}))
     odd = reduce(lambda a, b: a | b, [F.col(f"fraction.address_{i}") for i in places])
     again = F.from_json(raw, "results array<struct<location struct<street struct<number string, name string>, "
                              "city string, state string, country string>>>")
