@@ -11,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from feedloom.functions.batches import modest  # noqa: F401  the operators take it from here
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -66,12 +68,6 @@ def spread_join(rows: DataFrame, one: DataFrame, key: list[str], share: int = 10
     return near.unionByName(far.select(*rows.columns, *columns))
 
 
-def modest(df: DataFrame, size: str = "8m") -> DataFrame:
-    """Send rows to Python in batches of about ``size`` from now on, whatever the length of the texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
-    return df
-
-
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes of all values, n + 1 offsets); null counts as empty."""
     column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")

@@ -597,11 +597,14 @@ def q_page_files(spark, sf_dir):
         F.replace("html", F.lit('charset="utf-8"'), F.concat(F.lit('charset="'), "charset", F.lit('"'))))
 
     def encode(batches):
+        import pyarrow as pa
+
         for batch in batches:
-            batch["content"] = [text.encode(name) for text, name in zip(batch["html"], batch["charset"])]
-            yield batch[["name", "content"]]
+            name, charset, html = batch.columns
+            content = pa.array((text.as_py().encode(of) for text, of in zip(html, charset.to_pylist())), pa.binary())
+            yield pa.RecordBatch.from_arrays([name, content], ["name", "content"])
 
-    files = pages.select(F.format_string("%d.html", "page_id").alias("name"), "charset", said.alias("html")).mapInPandas(
+    files = pages.select(F.format_string("%d.html", "page_id").alias("name"), "charset", said.alias("html")).mapInArrow(
         encode, "name string, content binary")
     store_bytes(files, f"{folder}/pages").write.parquet(f"{folder}/listed")
     header = read_html_files(spark, f"{folder}/pages", glob="*.html").select("url").filter(page_of("url") % 5 == 4).withColumn(

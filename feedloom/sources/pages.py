@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from feedloom.functions.batches import modest, modest_batches
+
 #: Bytes of a page in which it may declare its charset.
 _HEAD = 1024
 # Byte order marks, and names of the charsets that the JVM decodes here.
@@ -27,23 +29,25 @@ def declared_charset(content: Column) -> Column:
     return F.coalesce(by_mark, F.when(named != "", named))
 
 
-@F.pandas_udf(T.StringType())
-def _decoded(content: pd.Series, charset: pd.Series) -> pd.Series:
-    def one(raw: bytes | None, name: str | None) -> str | None:
-        if raw is None:
+@F.arrow_udf(T.StringType())
+def _decoded(content: pa.Array, charset: pa.Array) -> pa.Array:
+    def one(raw: pa.Scalar, name: str | None) -> str | None:
+        if not raw.is_valid:
             return None
+        raw = raw.as_py()
         try:
             return raw.decode(name or "utf-8", "replace").removeprefix("\ufeff")
         except LookupError:  # a charset that nobody knows
             return raw.decode("utf-8", "replace").removeprefix("\ufeff")
-    return pd.Series([one(raw, name) for raw, name in zip(content, charset)], dtype=object)
+    # The bytes of one page at a time beside the texts.
+    return pa.array((one(raw, name) for raw, name in zip(content, charset.to_pylist())), pa.string())
 
 
 def decoded(content: Column, charset: Column) -> Column:
     """Bytes as text by a charset for each row; NULL or an unknown one counts as UTF-8, a byte order mark goes.
 
     What cannot be decoded becomes U+FFFD. UTF-8 and ISO-8859-1 are decoded in the JVM; for other charsets the bytes, and
-    of rows with those two nothing, go to Python in Arrow batches.
+    of rows with those two nothing, go to Python in Arrow batches. A batch is as large as the session allows, see ``modest``.
     """
     name = F.coalesce(F.lower(charset), F.lit("utf-8"))
     utf8, latin1 = name.isin(_UTF8), name.isin(_LATIN1)
@@ -59,7 +63,9 @@ def read_html_files(
 
     The charset of a page is what the response's header said, as ``charsets`` (url, charset) hold it; else what the
     page declares; else ``charset``, and UTF-8 without one. The bytes are kept as ``read_bytes`` gives them until then.
+    Batches to Python are ``modest`` from now on.
     """
+    modest_batches(spark)
     pages = read_bytes(spark, path, glob)
     named = [declared_charset(F.col("content")), F.lit(charset or "utf-8")]
     if charsets is not None:
@@ -80,12 +86,12 @@ def store_bytes(pages: DataFrame, path: str) -> DataFrame:
     """(name, size) of the files that ``pages`` (name, content) were written to below ``path``, one each.
 
     The rows must be written or counted once for the files to be there. A file is written under another name and
-    then renamed, so that a reader never sees half of it and a repeated task replaces its own.
+    then renamed, so that a reader never sees half of it and a repeated task replaces its own. Batches to Python are
+    ``modest`` from now on, those of a function that makes ``pages`` too.
     """
     def store(batches: Iterator) -> Iterator:
         import uuid
 
-        import pyarrow as pa
         from pyarrow import fs
 
         system, folder = fs.FileSystem.from_uri(path)
@@ -101,7 +107,7 @@ def store_bytes(pages: DataFrame, path: str) -> DataFrame:
                 sizes.append(raw.size)
             yield pa.RecordBatch.from_pydict({"name": names, "size": sizes})
 
-    return pages.select("name", "content").mapInArrow(store, "name string, size long")
+    return modest(pages).select("name", "content").mapInArrow(store, "name string, size long")
 
 
 def read_payloads(spark: SparkSession, path: str, stream: bool = False, options: dict[str, str] | None = None) -> DataFrame:

@@ -1,7 +1,9 @@
 """Pages as bytes, their charsets, and landings."""
 
 import os
+import uuid
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +72,20 @@ def test_landing_leaves_other_sources(spark, work):
     assert sorted((str(r.source), r.page) for r in got) == [("None", "y"), ("a", "3"), ("b", "1"), ("c", "1")]
     land_raw(spark.createDataFrame([("d", "9")], "source string, page string"), f"{work}/landing")
     assert [r.page for r in spark.read.parquet(f"{work}/landing").collect()] == ["9"]
+
+
+def test_batches_to_python_are_small(spark, work):
+    """By default a batch has 10,000 rows or 64 MB: some 400 MB of a worker."""
+    def sized(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({
+                "name": [f"{uuid.uuid4().hex}.html"], "content": [f"{batch.num_rows} {'é' * 150_000}".encode("utf-16")]})
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("html"))  # 60 MB
+    files = store_bytes(rows.mapInArrow(sized, "name string, content binary"), f"{work}/pages")
+    assert files.count() >= 7
+    html = read_html_files(spark, f"{work}/pages").select("html").collect()
+    counts = [int(r.html.split(" ")[0]) for r in html]
+    assert sum(counts) == 300 and max(counts) <= 43
+    assert all(r.html.endswith(" " + "é" * 150_000) for r in html)
