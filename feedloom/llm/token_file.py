@@ -34,8 +34,6 @@ FILE_IDS = 1 << 20
 
 #: For each control byte the lengths of its four values.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
-#: For each code which of a rank's four bytes are written.
-_WRITTEN = np.arange(4) <= np.arange(4)[:, None]
 
 
 def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -56,7 +54,8 @@ def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> b
     fours = np.zeros((-(-len(code) // 4), 4), np.uint8)
     fours.reshape(-1)[:len(code)] = code
     control = fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6
-    data = ranks.view(np.uint8).reshape(-1, 4)[:, :width][_WRITTEN[:, :width][code]]
+    written = code[:, None] >= np.arange(width, dtype=np.uint8)
+    data = ranks.view(np.uint8).reshape(-1, 4)[:, :width].reshape(-1)[written.reshape(-1)]
     none = np.array([x is None for x in doc_ids], np.uint8)
     return b"".join([
         _HEAD.pack(MAGIC, len(doc_ids), len(ids), len(table)), table.tobytes(),

@@ -2,8 +2,8 @@
 
 The tokenizer cuts a text into pieces (words, numbers, signs, white space) and
 merges bytes within each piece alone, so a piece has the same ids wherever it
-stands. A worker therefore asks the library once for each new piece and keeps
-its ids. Texts with characters outside the listed ones are given to the library
+stands. A worker therefore asks the library's model once for each new piece and
+keeps its ids. Texts with characters outside the listed ones are given to the library
 whole, and so are those that hold an added token such as ``<|endoftext|>`` where
 these count as tokens.
 """
@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import os
 import re
+import struct
+from collections.abc import Callable
 
 import numpy as np
 
@@ -19,10 +21,30 @@ import numpy as np
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 _SIGNS = "‘’“”–—…«»€£§¡¿·•©®°"
 _SPACE = r"\t\n\v\f\r "
+# Alternatives that begin with a character or a class are passed over quickly, and none of those without a lookahead gives back.
 _PIECE = re.compile(
-    rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_SPACE}0-9{_LETTERS}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    rf" [{_LETTERS}]++|[{_LETTERS}]++|'(?:s|t|re|ve|m|ll|d)|[0-9]++|[^{_SPACE}0-9{_LETTERS}]++"
+    rf"| [0-9]++| [^{_SPACE}0-9{_LETTERS}]++|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]++"
 )
 _PLAIN = re.compile(rf"[\x00-\x7f{_LETTERS}{_SIGNS}]*")
+# Byte-level models spell a byte as a character: itself where ISO-8859-1 prints it, the others from U+0100 on.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SPELLED = {byte: 0x100 + n for n, byte in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
+class _Ids(dict):
+    """The ids of pieces; those of a new one are ``before``'s or come from the model."""
+
+    def __init__(self, tokenize: Callable, before: dict[str, bytes]):
+        self.tokenize, self.before = tokenize, before
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            tokens = self.tokenize(piece.encode().decode("latin-1").translate(_SPELLED))
+            ids = struct.pack(f"<{len(tokens)}I", *[token.id for token in tokens])
+        self[piece] = ids
+        return ids
 
 
 class Encoder:
@@ -45,13 +67,8 @@ class Encoder:
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = not added
         self._added = [t.content for t in self._library.get_added_tokens_decoder().values()] if added else []
-        vocabulary = self._library.get_vocab(with_added_tokens=False)
-        #: Bytes of each token, which has a character for each in the file.
-        self._sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
-        self._sizes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.KEPT = kept or self.KEPT
-        self._ids: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._ids = _Ids(self._library.model.tokenize, {})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, at = [], 0
@@ -66,57 +83,18 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self._ids) > self.KEPT // 2:
-            self._old, self._ids = self._ids, {}
-        known, before, out, waiting = self._ids.get, self._old.get, [], []
+            self._ids.before = {}
+            self._ids = _Ids(self._ids.tokenize, self._ids)
+        ids, out = self._ids.__getitem__, []
         for text in texts:
             if not text.isascii() and not _PLAIN.fullmatch(text) or any(token in text for token in self._added):
-                out += self._whole([text])
-                continue
-            pieces = _PIECE.findall(text)
-            found = list(map(known, pieces))
-            gaps = []
-            for n in self._missing(found):
-                ids = before(pieces[n])
-                if ids is None:
-                    gaps.append((n, pieces[n]))
-                else:
-                    found[n] = self._ids[pieces[n]] = ids
-            if gaps:
-                waiting.append((len(out), found, gaps))
-            out.append(b"" if gaps else b"".join(found))
-        self._learn(list({piece for _, _, gaps in waiting for _, piece in gaps}))
-        for place, found, gaps in waiting:
-            for n, piece in gaps:
-                found[n] = self._ids[piece]
-            out[place] = b"".join(found)
+                out.append(self._whole(text))
+            else:
+                out.append(b"".join(map(ids, _PIECE.findall(text))))
         return out
 
-    @staticmethod
-    def _missing(found: list[bytes | None]) -> list[int]:
-        places, at = [], -1
-        try:
-            while True:
-                at = found.index(None, at + 1)
-                places.append(at)
-        except ValueError:
-            return places
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        words, rest = [], []
-        for piece in new:
-            # A piece that begins with a space and a letter is a space and letters.
-            (words if len(piece) > 1 and piece[0] == " " and piece[1].isalpha() else rest).append(piece)
-        # Words that begin with a space fall apart again where they were joined: a token's bytes lie in one word.
-        for at in range(0, len(words), 256):
-            row = words[at:at + 256]
-            ids = np.array(self._library.encode_batch_fast(["".join(row)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.searchsorted(np.cumsum(self._sizes[ids]), np.cumsum([len(w.encode()) for w in row])) + 1
-            content, places = ids.tobytes(), (4 * ends).tolist()
-            self._ids.update(zip(row, [content[a:b] for a, b in zip([0, *places], places)]))
-        self._ids.update(zip(rest, self._whole(rest)))
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[tuple[str, int, bool], Encoder] = {}

@@ -168,3 +168,29 @@ def test_queries_encode_as_the_library_as_it_is(spark, work):
             assert got == {n: (zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)), len(ids)) for n, ids in want.items()}
         else:
             assert {n: tokens for n, (_, tokens) in got.items()} == {n: len(ids) for n, ids in want.items()}
+
+
+def test_each_new_piece_is_asked_for_once():
+    """Alone and by the model: no row of pieces is joined, cut and aligned again by the library's outer steps."""
+    ours, asked, whole = Encoder(PATH), [], []
+    inner, outer = ours._ids.tokenize, ours._whole
+    ours._ids.tokenize = lambda piece: asked.append(piece) or inner(piece)
+    ours._whole = lambda text: whole.append(text) or outer(text)
+    texts = ["the snow, the élan\n\n  42 'tis", "the snow 漢字", "snow the snow élan"]
+    for text, ids in zip(texts, ours.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == _library().encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted(["the", "Ġsnow", ",", "Ġthe", "ĠÃ©lan", "ĊĊĠ", "Ġ42", "Ġ'", "tis", "snow"])
+    assert whole == [texts[1]]
+
+
+def test_ranks_of_each_width_come_back():
+    ids = np.concatenate([np.repeat(np.arange(70_000), 2), np.arange(70_000)[::-1]])
+    for some in (ids, ids[:300], ids[:3], ids[:0]):
+        content = encode([4], np.array([len(some)]), some)
+        assert decode(content)[2].tolist() == some.tolist()
+
+
+def test_every_byte_is_spelled():
+    texts = [chr(c) + "a" + chr(c) * 2 for c in [*range(0x180), 0x2014, 0xAB, 0xD7, 0x20AC]]
+    for text, ids in zip(texts, Encoder(PATH).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == _library().encode(text, add_special_tokens=False).ids
